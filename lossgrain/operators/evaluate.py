@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import share, tail_weight
+from lossgrain.functions.columns import share, tail_weight, total
 from lossgrain.operators.describe import histogram
 from lossgrain.operators.lookup import BROADCAST_ROWS, lookup_join
 from lossgrain.operators.order_stats import quantiles
@@ -97,7 +97,8 @@ def calibration(
 ) -> DataFrame:
     """Predicted against actual mean in equally filled prediction bins."""
     cuts = cut_points(df, p, bins)
-    number = F.size(F.filter(cuts, lambda c: F.col("_p") > c)) + 1
+    above = [F.when(F.col("_p") > cuts[i], 1).otherwise(0) for i in range(bins - 1)]
+    number = total([F.lit(1), *above])
     return (
         df.select(F.col(y).alias("_y"), F.col(p).alias("_p"))
         .where(F.col("_p").isNotNull() & F.col("_y").isNotNull())

@@ -1 +1,73 @@
-"""Queries."""
+"""Queries of the streaming operators, run to the end of the given events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F, types as T
+
+from lossgrain.queries.monitoring import NUMBERS
+from lossgrain.queries.registry import query, rounded, rs
+from lossgrain.queries.testbed import baseline, log_of, sql
+from lossgrain.streaming import log as sl
+
+
+def events_stream(spark, d, retries: bool = False):
+    """The events table as a stream of log entries, optionally sent twice."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    if retries:
+        source = source.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    return log_of(source)
+
+
+@query("x1_stream_log", sql("SELECT prediction_id, ts, predicted_lgd FROM log", "log"))
+def x1(spark, d):
+    stream = sl.stream_log(events_stream(spark, d, retries=True))
+    path = sl.run_to_table(stream.select("prediction_id", "ts", "predicted_lgd"), "x1")
+    written = spark.read.schema("prediction_id string, ts timestamp, predicted_lgd double").parquet(path)
+    return written.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def window_sql(days: int, slide: int) -> str:
+    """Start of every epoch-aligned window that holds ``ts``."""
+    copies = ", ".join(str(i) for i in range(days // slide))
+    return f"""SELECT *, to_timestamp((floor(epoch(ts) / ({slide} * 86400)) - i) * {slide} * 86400)::TIMESTAMPTZ
+      AT TIME ZONE 'UTC' AS "start" FROM log, (SELECT unnest([{copies}]) AS i)"""
+
+
+SUMMARY_COLUMNS = f"""count(*) AS n_predictions, {rs('avg(predicted_lgd)')} AS mean_predicted_lgd,
+  min(ts) AS first_ts, max(ts) AS last_ts"""
+
+
+def plain(df, *columns):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+def run_summary(spark, d, label, window, slide=None):
+    stream = sl.stream_summary(events_stream(spark, d), window, slide)
+    path = sl.run_to_table(stream, label, "update")
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
+    table = sl.latest(spark, path, ["start", "end"], schema).drop("end")
+    return rounded(plain(table, "start", "first_ts", "last_ts"), ["mean_predicted_lgd"])
+
+
+@query("x2_stream_summary", sql(f'SELECT "start", {SUMMARY_COLUMNS} FROM ({window_sql(7, 7)}) GROUP BY "start"', "log"))
+def x2(spark, d):
+    return run_summary(spark, d, "x2", "7 days")
+
+
+@query("x2_stream_summary_sliding", sql(f'SELECT "start", {SUMMARY_COLUMNS} FROM ({window_sql(10, 5)}) GROUP BY "start"', "log"))
+def x2_sliding(spark, d):
+    return run_summary(spark, d, "x2s", "10 days", "5 days")
+
+
+@query("x3_stream_drift", sql(f"""SELECT "start", m.feature, {rs('serving_mean', 4)} AS serving_mean, n,
+  {rs('abs(serving_mean - train_mean) / abs(train_mean)', 4)} AS mean_shift FROM (
+    SELECT to_timestamp(floor(epoch(ts) / (30 * 86400)) * 30 * 86400)::TIMESTAMPTZ AT TIME ZONE 'UTC' AS "start", feature,
+      avg(value) AS serving_mean, count(*) AS n FROM numbers GROUP BY ALL) m
+  JOIN baseline b ON m.feature = b.feature WHERE train_mean <> 0""", "log", "baseline", extra=NUMBERS))
+def x3(spark, d):
+    stream = sl.stream_drift(events_stream(spark, d), baseline(spark))
+    path = sl.run_to_table(stream, "x3", "update")
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
+    table = sl.latest(spark, path, ["start", "end", "feature"], schema)
+    return rounded(plain(table, "start"), ["serving_mean"], 4).select("start", "feature", "serving_mean", "n", "mean_shift")

@@ -284,7 +284,10 @@ FEATURES = f"""features AS (
 # --- prediction log -------------------------------------------------------
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return log_of(table(spark, sf_dir, "events"))
+
+
+def log_of(e: DataFrame) -> DataFrame:
     payload = F.concat(
         F.expr("substring(props, 1, length(props) - 1)"),
         F.lit(', "orig_ltv": '), (50 + F.col("user_id") % 71).cast("string"),

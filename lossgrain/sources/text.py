@@ -89,7 +89,9 @@ def split_rejects(rows: DataFrame, n_columns: int) -> tuple[DataFrame, DataFrame
     A row with too few fields is kept, padded with null.
     """
     separators = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit("|"), F.lit("")))
-    too_long = F.coalesce(separators >= n_columns, F.lit(False))
+    # Spark refuses to scan for raw bad lines alone, so a data column takes part.
+    scanned = F.coalesce(F.length(F.col(rows.columns[0])), F.lit(0)) >= 0
+    too_long = F.coalesce(separators >= n_columns, F.lit(False)) & scanned
     rejects = rows.where(too_long).select("_file", F.col(CORRUPT).alias("line"))
     return rows.where(~too_long).drop(CORRUPT), rejects
 
