@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lossgrain import constants as K
 from lossgrain.functions.columns import clip, pearson, share
 from lossgrain.operators.order_stats import (
-    column_quantiles, number_cell, quantiles, with_running_count,
+    column_quantiles, number_cell, quantiles, with_running_counts,
 )
 
 
@@ -143,12 +143,12 @@ def ecdf(df: DataFrame, col: str = K.TARGET) -> DataFrame:
         .groupBy(F.col(col).cast("double").alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    running = with_running_count(counts, "value", number_cell("value"))
+    running = with_running_counts(counts, "value", number_cell("value"))
     return running.select(
         "value",
         "n",
-        ((F.col("before") + 1) / F.col("total")).alias("first_step"),
-        ((F.col("before") + F.col("n")) / F.col("total")).alias("last_step"),
+        ((F.col("before_n") + 1) / F.col("total_n")).alias("first_step"),
+        ((F.col("before_n") + F.col("n")) / F.col("total_n")).alias("last_step"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lossgrain import constants as K
 from lossgrain.functions.columns import finite, lookup
 from lossgrain.operators.lookup import BROADCAST_ROWS, SALTS, lookup_join
-from lossgrain.operators.order_stats import text_cell, with_running_count
+from lossgrain.operators.order_stats import text_cell, with_running_counts
 
 UNKNOWN = "Unknown"
 
@@ -61,8 +61,8 @@ def fit_encoder(df: DataFrame, columns: Sequence[str] = tuple(K.CATEGORICAL_FEAT
         for c in present
     ])
     values = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.lit(1).alias("n"))
-    ranked = with_running_count(values, "value", text_cell("value"), ["column"])
-    return ranked.select("column", "value", F.col("before").cast("int").alias("code"))
+    ranked = with_running_counts(values, "value", text_cell("value"), ["column"])
+    return ranked.select("column", "value", F.col("before_n").cast("int").alias("code"))
 
 
 def apply_encoder(

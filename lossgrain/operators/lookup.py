@@ -20,7 +20,7 @@ SALTS = 16
 def measured(table: DataFrame, bound: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """The table computed once, and whether it has at most ``bound`` rows."""
     table = pin(table)
-    return table, table.limit(bound + 1).count() <= bound
+    return table, table.count() <= bound
 
 
 def attach(

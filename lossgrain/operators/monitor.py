@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
-from lossgrain.operators.order_stats import number_cell, with_running_count
+from lossgrain.operators.order_stats import number_cell, with_running_counts
 
 
 def prediction_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -108,16 +108,13 @@ def ks_statistic(
     counts = both.groupBy("feature", "value").agg(
         per_sample[0].alias("n_s"), per_sample[1].alias("n_t")
     )
-    cell = number_cell("value")
-    first = with_running_count(counts, "value", cell, ["feature"], "n_s").withColumnsRenamed(
-        {"before": "_before_s", "total": "_total_s"}
-    )
-    second = with_running_count(first, "value", cell, ["feature"], "n_t")
-    distance = F.abs(
-        F.try_divide(F.col("_before_s") + F.col("n_s"), F.col("_total_s"))
-        - F.try_divide(F.col("before") + F.col("n_t"), F.col("total"))
-    )
-    return second.groupBy("feature").agg(F.max(distance).alias("ks")).withColumn(
+    running = with_running_counts(counts, "value", number_cell("value"), ["feature"], ["n_s", "n_t"])
+
+    def reached(n: str) -> Column:
+        return F.try_divide(F.col(f"before_{n}") + F.col(n), F.col(f"total_{n}"))
+
+    distance = F.abs(reached("n_s") - reached("n_t"))
+    return running.groupBy("feature").agg(F.max(distance).alias("ks")).withColumn(
         "alert", F.col("ks") > threshold
     )
 

@@ -14,6 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lossgrain.operators.lookup import BROADCAST_ROWS, measured
+from lossgrain.session import pin
+
 STEPS = 8192
 EXPONENT_SHIFT = 1100
 
@@ -39,40 +42,45 @@ def text_cell(c: str | Column, length: int = 4) -> Column:
     return F.substring(F.col(c) if isinstance(c, str) else c, 1, length)
 
 
-def _cell_sums(celled: DataFrame, by: list[str], n: str) -> DataFrame:
-    """Per group and cell: rows before it, rows up to its end, group size."""
-    sums = celled.groupBy(*by, "_cell").agg(F.sum(n).alias("_in_cell"))
-    ordered = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("_in_cell").over(ordered)
-    return sums.select(
-        *[F.col(c).alias(f"_g_{c}") for c in by],
-        F.col("_cell").alias("_g_cell"),
-        (upto - F.col("_in_cell")).alias("_offset"),
-        upto.alias("_upto"),
-        F.sum("_in_cell").over(Window.partitionBy(*by)).alias("total"),
-    )
-
-
-def _same_cell(by: list[str]) -> list[Column]:
-    return [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by] + [F.col("_cell") == F.col("_g_cell")]
+def _running(by: list[str]):
+    return Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def _inside(by: list[str], value: str):
     return Window.partitionBy(*by, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def with_running_count(
-    counts: DataFrame, value: str, cell: Column, by: Sequence[str] = (), n: str = "n"
+def _keyed(by: list[str]) -> list[Column]:
+    return [F.col(c).alias(f"_g_{c}") for c in by] + [F.col("_cell").alias("_g_cell")]
+
+
+def _same_cell(by: list[str]) -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by] + [F.col("_cell") == F.col("_g_cell")]
+
+
+def with_running_counts(
+    counts: DataFrame, value: str, cell: Column, by: Sequence[str] = (), n: Sequence[str] = ("n",)
 ) -> DataFrame:
-    """Add ``before`` (rows with a smaller value) and ``total`` per group.
+    """Add ``before_<n>`` (rows with a smaller value) and ``total_<n>``.
 
-    ``counts`` has one row per group and distinct value with its count ``n``.
+    ``counts`` has one row per group and distinct value with one or several
+    count columns ``n``. It is written once, as it is read twice.
     """
-    by = list(by)
-    celled = counts.withColumn("_cell", cell)
-    joined = celled.join(_cell_sums(celled, by, n), _same_cell(by))
-    before = F.col("_offset") + F.sum(n).over(_inside(by, value)) - F.col(n)
-    return joined.select(*counts.columns, before.alias("before"), "total")
+    by, n = list(by), list(n)
+    celled = pin(counts.withColumn("_cell", cell))
+    sums = celled.groupBy(*by, "_cell").agg(*[F.sum(c).alias(c) for c in n])
+    whole = Window.partitionBy(*by)
+    offsets = sums.select(
+        *_keyed(by),
+        *[(F.sum(c).over(_running(by)) - F.col(c)).alias(f"_offset_{c}") for c in n],
+        *[F.sum(c).over(whole).alias(f"total_{c}") for c in n],
+    )
+    joined = celled.join(offsets, _same_cell(by))
+    before = [
+        (F.col(f"_offset_{c}") + F.sum(c).over(_inside(by, value)) - F.col(c)).alias(f"before_{c}")
+        for c in n
+    ]
+    return joined.select(*counts.columns, *before, *[f"total_{c}" for c in n])
 
 
 def order_statistics(
@@ -82,32 +90,47 @@ def order_statistics(
     cell: Column,
     by: Sequence[str] = (),
     few_groups: bool = False,
+    bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The values at given 0-based ranks of each group.
 
     ``ranks`` is an array expression over the group size column ``total``.
     Returns one row per group and rank: ``by``, ``total``, ``rank``, value.
-    Only cells that hold a wanted rank are looked into. ``few_groups`` says
-    that the number of groups is fixed by the query and not by the data, so
-    that the wanted cells may be broadcast.
+
+    The first pass counts rows per cell, which leaves a few thousand rows per
+    task. The second pass keeps only the cells that hold a wanted rank. Those
+    are broadcast when their number is fixed by the query (no groups, or
+    ``few_groups``) or was counted and is small; otherwise equal values are
+    collapsed first and joined by shuffle.
     """
     by = list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
-    celled = counts.withColumn("_cell", cell)
-    inside_cell = lambda r: (r >= F.col("_offset")) & (r < F.col("_upto"))
-    wanted = (
-        _cell_sums(celled, by, "_n")
-        .withColumn("ranks", F.filter(F.array_distinct(ranks), inside_cell))
-        .where(F.size("ranks") > 0)
-        .drop("_upto")
+    rows = df.where(F.col(value).isNotNull()).select(*by, value, cell.alias("_cell"))
+    sums = rows.groupBy(*by, "_cell").agg(F.count("*").alias("_in_cell"))
+    upto = F.sum("_in_cell").over(_running(by))
+    placed = sums.select(
+        *_keyed(by),
+        (upto - F.col("_in_cell")).alias("_offset"),
+        upto.alias("_upto"),
+        F.sum("_in_cell").over(Window.partitionBy(*by)).alias("total"),
     )
-    if few_groups or not by:
-        wanted = F.broadcast(wanted)
+    holds = lambda r: (r >= F.col("_offset")) & (r < F.col("_upto"))
+    wanted = placed.where(F.exists(ranks, holds)).drop("_upto")
+    small = few_groups or not by
+    if not small:
+        wanted, small = measured(wanted, bound)
+    if small:
+        found = rows.withColumn("_n", F.lit(1)).join(F.broadcast(wanted), _same_cell(by))
+    else:
+        counts = rows.groupBy(*by, value, "_cell").agg(F.count("*").alias("_n"))
+        found = counts.join(wanted, _same_cell(by))
     at_value = lambda r: (r >= F.col("_end") - F.col("_n")) & (r < F.col("_end"))
     return (
-        celled.join(wanted, _same_cell(by))
+        found.groupBy(*by, "_cell", value)
+        .agg(F.sum("_n").alias("_n"), F.max("_offset").alias("_offset"), F.max("total").alias("total"))
         .withColumn("_end", F.col("_offset") + F.sum("_n").over(_inside(by, value)))
-        .select(*by, "total", F.explode(F.filter("ranks", at_value)).alias("rank"), value)
+        .select(
+            *by, "total", F.explode(F.filter(F.array_distinct(ranks), at_value)).alias("rank"), value
+        )
     )
 
 

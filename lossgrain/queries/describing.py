@@ -1,4 +1,8 @@
-"""Queries of the descriptive operators."""
+"""Queries of the descriptive operators.
+
+Operators that read their input more than once get it as a written table, the
+way a stage of the batch run would hand it over.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lossgrain.operators import describe as ds
 from lossgrain.operators import resolve as rv
-from lossgrain.queries.registry import query, r, rounded, rs
+from lossgrain.queries.registry import query, rounded, rs
 from lossgrain.queries.testbed import cleaned, features, hist, orig, resolved, sql
+from lossgrain.session import pin
 
 Y = "loss_given_default"
 MEDIAN = f"quantile_cont({Y}, 0.5)"
@@ -33,7 +38,7 @@ def a2(spark, d):
   {rs(f'100.0 * count(*) FILTER (WHERE {Y} = 0) / count(*)')} AS pct_zero,
   {rs(f'100.0 * count(*) FILTER (WHERE {Y} = 1) / count(*)')} AS pct_one FROM cleaned""", "cleaned"))
 def a3(spark, d):
-    return rounded(ds.lgd_summary(cleaned(spark, d)), ["mean_lgd", "median_lgd", "pct_zero", "pct_one"])
+    return rounded(ds.lgd_summary(pin(cleaned(spark, d))), ["mean_lgd", "median_lgd", "pct_zero", "pct_one"])
 
 
 A4 = [Y, "orig_ltv", "orig_upb", "orig_interest_rate", "orig_dti"]
@@ -44,13 +49,13 @@ A4 = [Y, "orig_ltv", "orig_upb", "orig_interest_rate", "orig_dti"]
   {rs(f'quantile_cont({c}, 0.5)', 4)} AS q50, {rs(f'quantile_cont({c}, 0.75)', 4)} AS q75,
   {rs(f'max({c})', 4)} AS max FROM cleaned""" for c in A4), "cleaned"))
 def a4(spark, d):
-    return rounded(ds.describe(cleaned(spark, d), A4), ["mean", "std", "min", "q25", "q50", "q75", "max"], 4)
+    return rounded(ds.describe(pin(cleaned(spark, d)), A4), ["mean", "std", "min", "q25", "q50", "q75", "max"], 4)
 
 
 @query("a5_vintage_stats", sql(f"""SELECT vintage_year, count(*) AS n, {rs(f'avg({Y})')} AS mean_lgd,
   {rs(MEDIAN)} AS median_lgd FROM cleaned GROUP BY vintage_year""", "cleaned"))
 def a5(spark, d):
-    return rounded(ds.vintage_stats(cleaned(spark, d)), ["mean_lgd", "median_lgd"])
+    return rounded(ds.vintage_stats(pin(cleaned(spark, d))), ["mean_lgd", "median_lgd"])
 
 
 @query("a6_segment_stats", sql(f"""SELECT channel, {rs(f'avg({Y})')} AS mean_lgd, count(*) AS n FROM cleaned
@@ -78,7 +83,7 @@ def clipped_sql(x: str, low: float, high: float) -> str:
         SELECT {clipped_sql('ltv_at_default', 0.0, 200.0)} AS x, {Y} AS y FROM features
         WHERE ltv_at_default IS NOT NULL))) GROUP BY bin""", "features"))
 def a9(spark, d):
-    return rounded(ds.binned_mean(features(spark, d)), ["bin_low", "bin_high", "mean_y"])
+    return rounded(ds.binned_mean(pin(features(spark, d))), ["bin_low", "bin_high", "mean_y"])
 
 
 @query("a10_histogram", sql(f"""SELECT bin, {rs('any_value(lo) + any_value(w) * (bin - 1)')} AS bin_low, count(*) AS n FROM (
@@ -86,7 +91,7 @@ def a9(spark, d):
       SELECT x, min(x) OVER () AS lo, (max(x) OVER () - min(x) OVER ()) / CAST(50 AS DOUBLE) AS w
       FROM (SELECT {Y} AS x FROM cleaned WHERE {Y} IS NOT NULL))) GROUP BY bin""", "cleaned"))
 def a10(spark, d):
-    return rounded(ds.histogram(cleaned(spark, d), Y, 50), ["bin_low"])
+    return rounded(ds.histogram(pin(cleaned(spark, d)), Y, 50), ["bin_low"])
 
 
 @query("a11_ecdf", sql(f"""SELECT {rs('value', 9)} AS value, n, {rs('(upto - n + 1) / CAST(total AS DOUBLE)', 9)} AS first_step,

@@ -28,7 +28,7 @@ SPLIT = """parts AS (
 
 
 def parts(spark, d):
-    return sp.split_stratified(cleaned(spark, d))
+    return sp.split_stratified(pin(cleaned(spark, d)))
 
 
 @query("m1_split_stratified", sql("SELECT loan_seq_num, vintage_year, split FROM parts", "cleaned", extra=SPLIT))
@@ -48,7 +48,7 @@ def m1_hash(spark, d):
     <= round(count(*) OVER (PARTITION BY vintage_year) * 0.15) THEN 'validation' ELSE 'train' END AS split
   FROM cleaned""", "cleaned"))
 def m2(spark, d):
-    return sp.split_by_vintage(cleaned(spark, d), 1998).select("loan_seq_num", "split")
+    return sp.split_by_vintage(pin(cleaned(spark, d)), 1998).select("loan_seq_num", "split")
 
 
 SEGMENTS = SPLIT + f""",
@@ -284,13 +284,13 @@ def m18(spark, d):
     UNION ALL (SELECT loan_seq_num, 'low' FROM scored ORDER BY round(lgd, 6), loan_seq_num LIMIT 5)) e
   ON a.loan_seq_num = e.loan_seq_num""", "features", extra=SCORED + ",\n" + ATTRIBUTED))
 def m19(spark, d):
-    loans = features(spark, d)
+    loans = pin(features(spark, d))
     scored = md.score(loans, SCORER).withColumn("lgd", F.round("lgd", 6))
     extremes = md.explain_extremes(attributions(loans), scored, 5)
     return rounded(extremes, ["attribution"]).select("loan_seq_num", "feature", "attribution", "extreme")
 
 
-M20 = M11 + M12[len(PREDICTED):] + ",\n" + STRESSED.replace("FROM features CROSS", "FROM features CROSS")
+M20 = M11 + M12[len(PREDICTED):] + ",\n" + STRESSED
 
 
 @query("m20_success_criteria", sql("""SELECT criterion, actual, target, passed FROM (
@@ -317,7 +317,7 @@ def m20(spark, d):
 def matrix(spark, d):
     """Encoded model matrix with its split, computed once for the fits."""
     table = ft.feature_matrix(encoded(spark, d), keep=["loan_seq_num"])
-    return pin(sp.split_stratified(table))
+    return pin(sp.split_stratified(pin(table)))
 
 
 def by_split(scored):

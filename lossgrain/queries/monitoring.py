@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lossgrain import constants as K
 from lossgrain.operators import model as md
 from lossgrain.operators import monitor as mo
 from lossgrain.queries.modelling import ATTRIBUTED, attributions
 from lossgrain.queries.registry import query, rounded, rs
 from lossgrain.queries.testbed import baseline, features, log, orig, sql
+from lossgrain.session import pin
 
 PERIOD = "strftime(min(ts), '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(max(ts), '%Y-%m-%d %H:%M:%S')"
 NUMBERS = """objects AS (
@@ -102,7 +102,7 @@ MON6 = ATTRIBUTED + ",\n" + ranks_sql("old", "f.vintage_year <= 1997 AND feature
   coalesce(abs(o.place - n.place) > 2, true) AS alert FROM old o FULL JOIN new n ON o.feature = n.feature
   WHERE o.place <= 3 OR n.place <= 3""", "features", extra=MON6))
 def mon6(spark, d):
-    loans = features(spark, d)
+    loans = pin(features(spark, d))
     importance = lambda df: rounded(
         md.global_importance(attributions(df), 99), ["mean_abs"]).withColumnRenamed("mean_abs", "importance")
     old = importance(loans.where(F.col("vintage_year") <= 1997)).where(F.col("feature") != "orig_term")

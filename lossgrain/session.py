@@ -29,15 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error, because a folder of one machine
     cannot hold another executor's checkpoint.
     """
-    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="lossgrain-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(base)
     return base
 
 
@@ -47,6 +44,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it on reliable storage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once, as a columnar table in the shared folder.
+
+    Later reads prune columns, know the size of the table, and survive the
+    loss of the executors that wrote it.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
