@@ -71,16 +71,25 @@ def share(condition: Column) -> Column:
     return F.avg(F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
+def varies(c: str | Column) -> Column:
+    """Aggregate: whether a column has two different values.
+
+    Deviations merged from several tasks are not exactly zero for a constant,
+    so zero spread has to be told by the extremes.
+    """
+    return F.max(as_column(c)) > F.min(as_column(c))
+
+
 def pearson(x: str | Column, y: str | Column) -> Column:
     """Correlation over rows where both sides exist; constant input gives null.
 
     The built-in ``corr`` raises a division error on constant input in ANSI
-    mode. The deviation of a constant is exactly zero, so a tolerant division
-    of the same moments gives null there.
+    mode.
     """
     both = as_column(x).isNotNull() & as_column(y).isNotNull()
     a, b = F.when(both, as_column(x)), F.when(both, as_column(y))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    ratio = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.when(varies(a) & varies(b), ratio)
 
 
 def tail_weight(y: str | Column, alpha: float = 2.0) -> Column:

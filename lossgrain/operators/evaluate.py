@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import share, tail_weight, total
+from lossgrain.functions.columns import share, tail_weight, total, varies
 from lossgrain.operators.describe import histogram
 from lossgrain.operators.lookup import BROADCAST_ROWS, lookup_join
 from lossgrain.operators.order_stats import quantiles
@@ -45,7 +45,7 @@ def regression_metrics(
     known = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     error = F.col(p) - F.col(y)
     squares = F.avg(error * error)
-    r2 = F.lit(1.0) - F.try_divide(squares, F.var_pop(y))
+    r2 = F.when(varies(y), F.lit(1.0) - F.try_divide(squares, F.var_pop(y)))
     metrics = [
         F.count("*").alias("n"),
         F.avg(F.abs(error)).alias("mae"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import finite, lookup
+from lossgrain.functions.columns import finite, lookup, varies
 from lossgrain.operators.lookup import BROADCAST_ROWS, SALTS, lookup_join
 from lossgrain.operators.order_stats import text_cell, with_running_counts
 
@@ -126,13 +126,16 @@ def sanitize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def scaler_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature, mean, scale`` of training rows; population std, zero to 1."""
     row = train.agg(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns
+        F.struct(
+            F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"), varies(c).alias("varies")
+        ).alias(c)
+        for c in columns
     ])
     pairs = F.array(*[
         F.struct(
             F.lit(c).alias("feature"),
             F.col(c)["mean"].alias("mean"),
-            F.when(F.col(c)["std"] == 0, F.lit(1.0)).otherwise(F.col(c)["std"]).alias("scale"),
+            F.when(F.col(c)["varies"], F.col(c)["std"]).otherwise(F.lit(1.0)).alias("scale"),
         )
         for c in columns
     ])
