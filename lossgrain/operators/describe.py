@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lossgrain import constants as K
 from lossgrain.functions.columns import clip, pearson, share
@@ -75,9 +75,14 @@ def segment_stats(
     return stats.orderBy(order, col)
 
 
-def value_range(df: DataFrame, value: Column) -> Column:
-    """Smallest and largest value as a one-row subquery (``lo``, ``hi``)."""
-    return df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("r")).scalar()
+def with_edges(df: DataFrame, bins: int) -> DataFrame:
+    """Rows with a value ``_x``, beside the start and width of equal bins."""
+    known = df.where(F.col("_x").isNotNull())
+    width = (F.max("_x") - F.min("_x")) / F.lit(float(bins))
+    edges = known.agg(F.struct(F.min("_x").alias("lo"), width.alias("width")).alias("e")).scalar()
+    return known.withColumn("_e", edges).select(
+        *df.columns, F.col("_e.lo").alias("_lo"), F.col("_e.width").alias("_width")
+    )
 
 
 def binned_mean(
@@ -94,21 +99,21 @@ def binned_mean(
     left out.
     """
     value = clip(F.col(x).cast("double"), low, high)
-    edge = value_range(df, value)
-    width = (edge["hi"] - edge["lo"]) / F.lit(float(bins))
-    raw = F.ceil(F.try_divide(value - edge["lo"], width))
-    number = F.when(
-        value.isNotNull(), F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(bins))
-    ).cast("int")
+    raw = F.ceil(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_width")))
+    number = F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(bins)).cast("int")
     return (
-        df.select(number.alias("bin"), F.col(y).alias("_y"))
-        .where(F.col("bin").isNotNull())
-        .groupBy("bin")
-        .agg(F.avg("_y").alias("mean_y"), F.count("_y").alias("n"))
+        with_edges(df.select(value.alias("_x"), F.col(y).alias("_y")), bins)
+        .groupBy(number.alias("bin"))
+        .agg(
+            F.avg("_y").alias("mean_y"),
+            F.count("_y").alias("n"),
+            F.max("_lo").alias("_lo"),
+            F.max("_width").alias("_width"),
+        )
         .select(
             "bin",
-            (edge["lo"] + width * (F.col("bin") - 1)).alias("bin_low"),
-            (edge["lo"] + width * F.col("bin")).alias("bin_high"),
+            (F.col("_lo") + F.col("_width") * (F.col("bin") - 1)).alias("bin_low"),
+            (F.col("_lo") + F.col("_width") * F.col("bin")).alias("bin_high"),
             "mean_y",
             "n",
         )
@@ -118,16 +123,13 @@ def binned_mean(
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width, left-closed bins; the last one closed on both sides."""
-    value = F.col(col).cast("double")
-    edge = value_range(df, value)
-    width = (edge["hi"] - edge["lo"]) / F.lit(float(bins))
-    raw = F.floor(F.coalesce(F.try_divide(value - edge["lo"], width), F.lit(0.0))) + 1
+    raw = F.floor(F.coalesce(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_width")), F.lit(0.0))) + 1
     number = F.least(raw, F.lit(bins)).cast("int")
     return (
-        df.where(value.isNotNull())
+        with_edges(df.select(F.col(col).cast("double").alias("_x")), bins)
         .groupBy(number.alias("bin"))
-        .agg(F.count("*").alias("n"))
-        .select("bin", (edge["lo"] + width * (F.col("bin") - 1)).alias("bin_low"), "n")
+        .agg(F.count("*").alias("n"), F.max("_lo").alias("_lo"), F.max("_width").alias("_width"))
+        .select("bin", (F.col("_lo") + F.col("_width") * (F.col("bin") - 1)).alias("bin_low"), "n")
         .orderBy("bin")
     )
 

@@ -73,10 +73,11 @@ def model_comparison(metrics: DataFrame, benchmark: str = "segment_average") ->
     other = F.col("model") != benchmark
 
     def gain(name: str) -> Column:
-        percent = F.try_divide(base[name] - F.col(name), base[name]) * F.lit(100.0)
+        before = F.col("_base")[name]
+        percent = F.try_divide(before - F.col(name), before) * F.lit(100.0)
         return F.when(other, F.round(percent, 1))
 
-    return metrics.select(
+    return metrics.withColumn("_base", base).select(
         "model",
         "mae",
         "rmse",
@@ -97,11 +98,12 @@ def calibration(
 ) -> DataFrame:
     """Predicted against actual mean in equally filled prediction bins."""
     cuts = cut_points(df, p, bins)
-    above = [F.when(F.col("_p") > cuts[i], 1).otherwise(0) for i in range(bins - 1)]
+    above = [F.when(F.col("_p") > F.col("_cuts")[i], 1).otherwise(0) for i in range(bins - 1)]
     number = total([F.lit(1), *above])
     return (
         df.select(F.col(y).alias("_y"), F.col(p).alias("_p"))
         .where(F.col("_p").isNotNull() & F.col("_y").isNotNull())
+        .withColumn("_cuts", cuts)
         .withColumn("bin", number)
         .groupBy("bin")
         .agg(

@@ -148,10 +148,10 @@ def scale(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     fitted = stats.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
 
     def scaled(c: str) -> Column:
-        s = F.try_element_at(fitted, F.lit(c))
+        s = F.try_element_at("_fitted", F.lit(c))
         return (F.col(c) - s["mean"]) / s["scale"]
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    return df.withColumn("_fitted", fitted).withColumns({c: scaled(c) for c in columns}).drop("_fitted")
 
 
 def features_json(columns: Mapping[str, str] | Sequence[str]) -> Column:

@@ -245,8 +245,11 @@ def linear_attributions(
     The parts of a loan add up to its linear score minus the linear score of
     the baseline. ``means`` is a literal mapping or a map-valued subquery.
     """
+    if isinstance(means, Column):
+        df = df.withColumn("_means", means)
+
     def mean(c: str) -> Column:
-        return F.try_element_at(means, F.lit(c)) if isinstance(means, Column) else F.lit(float(means[c]))
+        return F.try_element_at("_means", F.lit(c)) if isinstance(means, Column) else F.lit(float(means[c]))
 
     rows = F.array(*[
         F.struct(

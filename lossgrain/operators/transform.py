@@ -40,10 +40,11 @@ def fill_median(df: DataFrame, columns: Sequence[str] = tuple(K.MEDIAN_FILL)) ->
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    found = medians(df, present)
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), F.try_element_at(found, F.lit(c))) for c in present}
-    )
+    # The subquery becomes one column, so that its plan is not repeated per use.
+    held = df.withColumn("_medians", medians(df, present))
+    return held.withColumns(
+        {c: F.coalesce(F.col(c), F.try_element_at("_medians", F.lit(c))) for c in present}
+    ).drop("_medians")
 
 
 def fill_const(df: DataFrame, values: Mapping[str, object] | None = None) -> DataFrame:
@@ -57,9 +58,10 @@ def imputation_audit(df: DataFrame) -> DataFrame:
     median = [c for c in K.MEDIAN_FILL if c in df.columns]
     const = [c for c in K.CONSTANT_FILL if c in df.columns]
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in zero + median + const])
-    found = medians(df, median) if median else None
+    if median:
+        nulls = nulls.withColumn("_medians", medians(df, median))
     filler = {c: F.lit("0.0") for c in zero}
-    filler |= {c: F.try_element_at(found, F.lit(c)).cast("string") for c in median}
+    filler |= {c: F.try_element_at("_medians", F.lit(c)).cast("string") for c in median}
     filler |= {c: F.lit(str(K.CONSTANT_FILL[c])) for c in const}
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("n_filled"), filler[c].alias("fill_value"))
