@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lossgrain import constants as K
 from lossgrain.functions.columns import share, tail_weight, total, varies
 from lossgrain.operators.describe import histogram
-from lossgrain.operators.lookup import BROADCAST_ROWS, lookup_join
+from lossgrain.operators.lookup import BROADCAST_ROWS, attach, measured
 from lossgrain.operators.order_stats import quantiles
 
 SEGMENT = ("property_type", "occupancy_status", "vintage_year")
@@ -30,9 +30,10 @@ def apply_segment_benchmark(
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Segment mean as prediction; the overall training mean where unseen."""
+    segments, small = measured(segments, bound)
     weighted = F.sum(F.col("segment_mean") * F.col("n")) / F.sum("n")
     overall = segments.agg(weighted.alias("m")).scalar()
-    joined = lookup_join(test, segments.select(*by, "segment_mean"), list(by), "left", bound)
+    joined = attach(test, segments.select(*by, "segment_mean"), list(by), small=small)
     return joined.withColumn(name, F.coalesce(F.col("segment_mean"), overall)).select(
         *test.columns, name
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
 from lossgrain.functions.columns import finite, lookup, varies
-from lossgrain.operators.lookup import BROADCAST_ROWS, SALTS, lookup_join
+from lossgrain.operators.lookup import BROADCAST_ROWS, SALTS, attach, measured
 from lossgrain.operators.order_stats import text_cell, with_running_counts
 
 UNKNOWN = "Unknown"
@@ -80,12 +80,13 @@ def apply_encoder(
     """
     if unknown not in ("error", "next"):
         raise ValueError("unknown must be 'error' or 'next'")
+    dictionary, small = measured(dictionary, bound)
     for c in [c for c in columns if c in df.columns]:
         classes = dictionary.where(F.col("column") == c)
         n_classes = classes.agg(F.count("*").cast("int").alias("n")).scalar()
         codes = classes.select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
         text = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
-        joined = lookup_join(df.withColumn(f"_v_{c}", text), codes, [f"_v_{c}"], "left", bound, salts)
+        joined = attach(df.withColumn(f"_v_{c}", text), codes, [f"_v_{c}"], "left", small, salts)
         code = F.col(f"_c_{c}")
         if unknown == "next":
             code = F.coalesce(code, n_classes)

@@ -35,7 +35,8 @@ def attach(
     if small:
         return df.join(F.broadcast(table), list(on), how)
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)).cast("int")
     return df.withColumn("_salt", row_salt).join(spread, [*on, "_salt"], how).drop("_salt")
 
 

@@ -94,6 +94,22 @@ def merge_and_clean(perf: DataFrame, orig: DataFrame) -> DataFrame:
     return drop_null_target(merged)
 
 
+def late_or_resolving(
+    status: str = "current_delinquency_status",
+    codes: Sequence[str] = tuple(K.DEFAULT_CODES),
+    threshold: int = 3,
+    non_numeric: Sequence[str] = (),
+) -> tuple[Column, Column]:
+    """Whether a monthly record is 90+ days late, and whether it is a default.
+
+    The records for which neither holds do not matter to any operator here.
+    """
+    late = F.coalesce(number(status) >= threshold, F.lit(False))
+    if non_numeric:
+        late = late | F.coalesce(F.col(status).isin(*non_numeric), F.lit(False))
+    return late, F.coalesce(F.col("zero_balance_code").isin(*codes), F.lit(False))
+
+
 def months_delinquent(
     history: DataFrame,
     key: str = "loan_seq_num",
@@ -110,10 +126,7 @@ def months_delinquent(
     per loan and month; the window and the final sum share one partitioning.
     ``non_numeric`` lists text statuses to count as late (default: none).
     """
-    late = F.coalesce(number(status) >= threshold, F.lit(False))
-    if non_numeric:
-        late = late | F.coalesce(F.col(status).isin(*non_numeric), F.lit(False))
-    resolving = F.coalesce(F.col("zero_balance_code").isin(*codes), F.lit(False))
+    late, resolving = late_or_resolving(status, codes, threshold, non_numeric)
     monthly = (
         history.select(key, F.col(period).alias("_period"), late.alias("_late"), resolving.alias("_end"))
         .where(F.col("_late") | F.col("_end"))

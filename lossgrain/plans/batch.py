@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lossgrain import constants as K
 from lossgrain.operators import features as ft
@@ -12,33 +13,52 @@ from lossgrain.operators import macro
 from lossgrain.operators import quality as qa
 from lossgrain.operators import resolve as rv
 from lossgrain.operators import transform as tr
+from lossgrain.session import pin
 from lossgrain.sources import stage as st
 from lossgrain.sources import text as tx
 
+log = logging.getLogger(__name__)
+
+
+def _read(spark: SparkSession, directory: str, columns: Sequence[str], glob: str) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return tx.read_delimited(spark, directory, columns, glob, with_position=True, observation=seen), seen
+
+
+def _report(seen: Observation, rows: DataFrame, directory: str) -> None:
+    """Warn about rejected rows; counted while the stage was written."""
+    if not rows.isEmpty() and seen.get["rejected"]:
+        log.warning("%d rows with too many fields skipped in %s", seen.get["rejected"], directory)
+
 
 def ingest_origination(
     spark: SparkSession, directory: str, out: str, low: int = K.VINTAGE_WINDOW[0], high: int = K.VINTAGE_WINDOW[1]
 ) -> DataFrame:
     """One row per loan of the window, first appearance wins."""
-    rows = tx.read_delimited(spark, directory, K.ORIGINATION_COLUMNS, tx.ORIGINATION_GLOB, with_position=True)
+    rows, seen = _read(spark, directory, K.ORIGINATION_COLUMNS, tx.ORIGINATION_GLOB)
     rows = qa.require_columns(rows, K.REQUIRED_ORIGINATION)
     loans = rv.filter_vintage(tr.with_vintage_year(rows), low, high)
     first = rv.dedupe_first(loans, "loan_seq_num", tx.POSITION).drop(*tx.POSITION)
     st.stage(first, out, "vintage_year")
-    return qa.check_null_keys(st.load_stage(spark, out), "loan_seq_num")
+    staged = st.load_stage(spark, out, first.schema)
+    _report(seen, staged, directory)
+    return qa.check_null_keys(staged, "loan_seq_num")
 
 
 def ingest_performance(spark: SparkSession, directory: str, out: str) -> DataFrame:
     """One resolved row per defaulted loan, with its months of delinquency.
 
-    Both come from the same files, because the history is gone afterwards.
+    The text is scanned once: the few records that are late or resolving are
+    written, and both results come from them.
     """
-    rows = tx.read_delimited(spark, directory, K.PERFORMANCE_COLUMNS, tx.PERFORMANCE_GLOB, with_position=True)
+    rows, seen = _read(spark, directory, K.PERFORMANCE_COLUMNS, tx.PERFORMANCE_GLOB)
     rows = qa.require_columns(rows, K.REQUIRED_PERFORMANCE)
+    late, resolving = rv.late_or_resolving()
+    history = pin(rows.where(late | resolving))
+    _report(seen, history, directory)
     order = rv.period_order("monthly_reporting_period", *tx.POSITION)
-    last = rv.last_per_loan(rv.filter_defaults(rows), order=order, columns=K.PERFORMANCE_COLUMNS)
-    late = rv.months_delinquent(rows)
-    st.stage(last.join(late, "loan_seq_num", "left"), out)
+    last = rv.last_per_loan(rv.filter_defaults(history), order=order, columns=K.PERFORMANCE_COLUMNS)
+    st.stage(last.join(rv.months_delinquent(history), "loan_seq_num", "left"), out)
     return qa.check_null_keys(st.load_stage(spark, out), "loan_seq_num")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def stage(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None) -> None:
@@ -17,10 +17,15 @@ def stage(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = N
     writer.parquet(path)
 
 
-def load_stage(spark: SparkSession, path: str) -> DataFrame:
-    """The table at ``path``, or an error that names where it was expected."""
+def load_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table at ``path``, or an error that names where it was expected.
+
+    A partitioned table without rows has no file to take the columns from,
+    hence the optional ``schema``.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

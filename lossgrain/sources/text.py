@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from lossgrain import constants as K
 
@@ -83,17 +83,22 @@ def read_lines(spark: SparkSession, directory: str, columns: Sequence[str], glob
     )
 
 
+def too_long(rows: DataFrame, n_columns: int) -> Column:
+    """Whether a row has more fields than the layout."""
+    separators = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit("|"), F.lit("")))
+    # Spark refuses to scan for raw bad lines alone, so a data column takes part.
+    scanned = F.coalesce(F.length(F.col(rows.columns[0])), F.lit(0)) >= 0
+    return F.coalesce(separators >= n_columns, F.lit(False)) & scanned
+
+
 def split_rejects(rows: DataFrame, n_columns: int) -> tuple[DataFrame, DataFrame]:
     """Rows to keep, and rows with too many fields as raw text.
 
     A row with too few fields is kept, padded with null.
     """
-    separators = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit("|"), F.lit("")))
-    # Spark refuses to scan for raw bad lines alone, so a data column takes part.
-    scanned = F.coalesce(F.length(F.col(rows.columns[0])), F.lit(0)) >= 0
-    too_long = F.coalesce(separators >= n_columns, F.lit(False)) & scanned
-    rejects = rows.where(too_long).select("_file", F.col(CORRUPT).alias("line"))
-    return rows.where(~too_long).drop(CORRUPT), rejects
+    bad = too_long(rows, n_columns)
+    rejects = rows.where(bad).select("_file", F.col(CORRUPT).alias("line"))
+    return rows.where(~bad).drop(CORRUPT), rejects
 
 
 def read_delimited(
@@ -102,9 +107,18 @@ def read_delimited(
     columns: Sequence[str],
     glob: str,
     with_position: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """The good rows of the matching files."""
-    good, _ = split_rejects(read_lines(spark, directory, columns, glob), len(columns))
+    """The good rows of the matching files.
+
+    ``observation`` receives the number of rows read and rejected when the
+    result is computed, without another scan.
+    """
+    rows = read_lines(spark, directory, columns, glob)
+    if observation is not None:
+        rejected = F.count_if(too_long(rows, len(columns))).alias("rejected")
+        rows = rows.observe(observation, F.count("*").alias("read"), rejected)
+    good, _ = split_rejects(rows, len(columns))
     return good if with_position else good.drop(*POSITION)
 
 

@@ -107,9 +107,10 @@ def test_months_delinquent(spark, raw):
     assert months(minimum=0, non_numeric=["XX"])["A"] == 3
 
 
-def test_batch_run_end_to_end(spark, raw, tmp_path):
+def test_batch_run_end_to_end(spark, raw, tmp_path, caplog):
     out = str(tmp_path)
     features = batch.run(spark, raw, out, 2010, 2015)
+    assert "1 rows with too many fields skipped" in caplog.text
     rows = {r.loan_seq_num: r for r in features.collect()}
     assert set(rows) == {"A", "C"}
     assert features.columns == ["loan_seq_num", *K.FEATURES, K.TARGET, "vintage_year"]
@@ -122,6 +123,13 @@ def test_batch_run_end_to_end(spark, raw, tmp_path):
     assert {(r.column, r.value) for r in dictionary.collect()} >= {("channel", "R"), ("channel", "Unknown")}
 
 
+def test_nothing_to_ingest_gives_empty_stages(spark, tmp_path):
+    orig = batch.ingest_origination(spark, str(tmp_path / "no"), str(tmp_path / "o"))
+    perf = batch.ingest_performance(spark, str(tmp_path / "no"), str(tmp_path / "p"))
+    assert orig.count() == perf.count() == 0
+    assert {*K.ORIGINATION_COLUMNS, "vintage_year"} == set(orig.columns)
+
+
 def test_stage_replaces_and_missing_names_path(spark, tmp_path):
     path = str(tmp_path / "t")
     st.stage(spark.range(5), path)
