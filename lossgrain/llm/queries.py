@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossgrain.llm import chat_format
-from lossgrain.llm.common import tables
+from lossgrain.llm import chat_format, shard_balance, warc_archive
+from lossgrain.llm.common import pin, ranked, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,32 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
             t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op9_warc_archive", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS m FROM p WHERE b >= 100 GROUP BY d)
+SELECT page_id, b AS payload_bytes, d AS payload_digest,
+  CASE WHEN b >= 100 AND m <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN b >= 100 AND m <> page_id THEN m END AS refers_to
+FROM p LEFT JOIN f USING (d)
+""")
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc_archive.archive_path(spark)
+    warc_archive.write_archives(tables(spark, sf_dir, "pages"), path)
+    return warc_archive.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_balanced_labels")
+def op7_balanced_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = tables(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.sha2(text, 256).alias("same"))
+    placed = pin(shard_balance.balance(docs, "same", 16).drop("same"))
+    spread = 64
+    return ranked(placed, "shard", ["doc_id", "text_crc32", "size"], "slot",
+                  F.pmod(F.xxhash64("doc_id"), F.lit(spread)), spread).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
