@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossgrain.llm import chat_format, shard_balance, warc_archive
+from lossgrain.llm import chat_format, sequence_packing, shard_balance, warc_archive
 from lossgrain.llm.common import pin, ranked, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op7_balanced_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.pmod(F.xxhash64("doc_id"), F.lit(spread)), spread).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_sequence_packing")
+def op2_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence_packing.pack_documents(tables(spark, sf_dir, "documents"))
