@@ -28,42 +28,33 @@ def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def attach(rows: DataFrame, table: DataFrame, key: str, count: str | None = None) -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, key: str | list[str], count: str) -> DataFrame:
     """Left join of ``rows`` with a ``table`` that has one row per ``key``.
 
     ``count`` names the column of ``table`` with the number of ``rows`` of the
     key. Keys that hold more than 1/HOT_SHARE of all rows are at most
     HOT_SHARE in number, so they are joined by a broadcast of that proven
-    size; what is left has no hot key and is joined by a shuffle. Null keys
-    match nothing and do not meet in one task. Without ``count`` it is
-    computed here. Both inputs are read twice and should be stored tables.
+    size; what is left has no hot key and is joined by a shuffle. Rows with a
+    null in the first key column match nothing and do not meet in one task.
+    Both inputs are read twice and should be stored tables.
     """
-    if count is None:
-        n, = fresh(table, "key_rows")
-        sizes = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(n))
-        hot_source = sizes
-        count = n
-    else:
-        hot_source = table.select(key, count)
-    total = rows.count()
-    limit = total // HOT_SHARE
-    hot_keys = hot_source.where(F.col(count) > limit).where(F.col(count) > 1000).select(key)
-    hot = hot_keys.distinct().limit(HOT_SHARE + 1)
+    keys = [key] if isinstance(key, str) else list(key)
+    limit = max(rows.count() // HOT_SHARE, 1000)
+    hot = table.where(F.col(count) > limit)
     if hot.isEmpty():
-        return _null_safe(rows, table, key)
+        return _null_safe(rows, table, keys)
     flag, = fresh(rows, "is_hot")
-    hot = pin(hot.withColumn(flag, F.lit(True)))
-    marked = rows.join(F.broadcast(hot), key, "left")
-    hot_part = marked.where(F.col(flag)).drop(flag).join(
-        F.broadcast(table.join(F.broadcast(hot.drop(flag)), key, "left_semi")), key, "left")
-    cold = marked.where(F.col(flag).isNull()).drop(flag)
-    return hot_part.unionByName(_null_safe(cold, table, key))
-
-
-def _null_safe(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    with_key = rows.where(F.col(key).isNotNull()).join(table, key, "left")
-    kinds = {f.name: f.dataType for f in table.schema if f.name != key}
-    without = rows.where(F.col(key).isNull()).select(
+    hot_keys = F.broadcast(hot.select(*keys, F.lit(True).alias(flag)))
+    marked = rows.join(hot_keys, keys, "left")
+    found = marked.where(F.col(flag)).drop(flag).join(F.broadcast(hot), keys, "left")
+    return found.unionByName(
+        _null_safe(marked.where(F.col(flag).isNull()).drop(flag), table.where(F.col(count) <= limit), keys))
+
+
+def _null_safe(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    with_key = rows.where(F.col(keys[0]).isNotNull()).join(table, keys, "left")
+    kinds = {f.name: f.dataType for f in table.schema if f.name not in keys}
+    without = rows.where(F.col(keys[0]).isNull()).select(
         *rows.columns, *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
     return with_key.unionByName(without)
 
@@ -87,8 +78,3 @@ def ranked(df: DataFrame, part: str, order: Sequence[str | Column], out: str,
     numbered = spread.withColumn(rn, F.row_number().over(inside) - 1)
     return numbered.join(starts, [part, b]).withColumn(
         out, (F.col(base) + F.col(rn)).cast("long")).drop(b, base, rn)
-
-
-def passed(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with the schema's names in order."""
-    return df.mapInArrow(function, schema)

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lossgrain.llm import chat_format, sequence_packing, shard_balance, warc_archive
+from lossgrain.llm import (
+    chat_format, chunk_dedup, decontaminate, sequence_packing, shard_balance, warc_archive,
+)
 from lossgrain.llm.common import pin, ranked, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +97,17 @@ def op7_balanced_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_sequence_packing")
 def op2_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_packing.pack_documents(tables(spark, sf_dir, "documents"))
+
+
+@query("op6_chunk_dedup")
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeats(tables(spark, sf_dir, "documents"))
+
+
+@query("op3_spaced_seeds")
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(
+        tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_places"), F.min("start").cast("long").alias("first_token"),
+        F.max("matched").cast("long").alias("matched"), F.max("compared").cast("long").alias("compared"))
