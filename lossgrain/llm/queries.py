@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrain.llm import (
-    chat_format, chunk_dedup, decontaminate, sequence_packing, shard_balance, warc_archive,
+    chat_format, chunk_dedup, decontaminate, perplexity_rules, sequence_packing, shard_balance,
+    warc_archive,
 )
 from lossgrain.llm.common import pin, ranked, tables
 
@@ -111,3 +112,10 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("n_places"), F.min("start").cast("long").alias("first_token"),
         F.max("matched").cast("long").alias("matched"), F.max("compared").cast("long").alias("compared"))
+
+
+@query("op1_perplexity_rules")
+def op1_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity_rules.judge(tables(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "lang", "log_perplexity")
