@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrain.llm import (
     chat_format, chunk_dedup, decontaminate, perplexity_rules, sequence_packing, shard_balance,
-    warc_archive,
+    trie_join, warc_archive,
 )
 from lossgrain.llm.common import pin, ranked, tables
 
@@ -119,3 +119,9 @@ def op1_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity_rules.judge(tables(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", "lang", "log_perplexity")
+
+
+@query("op8_trie_join")
+def op8_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.groups(tables(spark, sf_dir, "documents")).select(
+        F.col("k").alias("doc_id"), "n_shingles", F.col("keeper").alias("component_id"))
