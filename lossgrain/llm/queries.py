@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrain.llm import (
-    chat_format, chunk_dedup, decontaminate, perplexity_rules, sequence_packing, shard_balance,
-    trie_join, warc_archive,
+    chat_format, chunk_dedup, decontaminate, perplexity_rules, pii_crf, secret_crf, sequence_packing,
+    shard_balance, trie_join, warc_archive,
 )
 from lossgrain.llm.common import pin, ranked, tables
 
@@ -125,3 +125,22 @@ def op1_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_join.groups(tables(spark, sf_dir, "documents")).select(
         F.col("k").alias("doc_id"), "n_shingles", F.col("keeper").alias("component_id"))
+
+
+def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """The contract's columns from the two span lists."""
+    return found.select(
+        "doc_id", *[F.regexp_count("base", F.lit(f"(^|,){k}:")).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op4_pii_crf")
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    return _span_digests(pii_crf.detect(docs, pii_crf.fit(docs)), pii_crf.KINDS)
+
+
+@query("op5_secret_crf")
+def op5_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    return _span_digests(secret_crf.detect(docs, secret_crf.fit(docs)), secret_crf.KINDS)
