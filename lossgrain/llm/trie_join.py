@@ -7,15 +7,21 @@ prefix rows (hash, set, nothing else) are grouped by shingle; the first set
 of a group leads it, and the sets led by one leader are a cluster. Any two
 sets that share a prefix shingle are in a cluster together.
 
-In a cluster the sets are kept in a prefix tree in the cluster's own order,
+Sets of a cluster are first compared by size and by a bitmap of two to four
+bits a shingle: each shingle flips one bit, so two bitmaps differ in at most
+as many bits as the sets differ in shingles. Pairs that this bound excludes
+cannot be similar. What is left joins clusters to families, whose sets are fetched
+once.
+
+In a family the sets are kept in a prefix tree in the family's own order,
 frequent shingles first, so that similar sets share paths. A probe walks the
 tree with the overlap gathered so far. A subtree is left out if its longest
 remaining path cannot bring the overlap up to what its smallest set needs,
 if its sizes cannot fit, or if all its sets are in the probe's component
-already. Clusters above ``block_sets`` are split; sets that are not linked
-to the leader then meet every block.
+already. Families above ``block_sets`` are split; sets that are not linked
+to the family's first set then meet every block.
 
-Equal sets are one set throughout. Only the sets of clusters are ever moved;
+Equal sets are one set throughout. Only the sets of families are ever moved;
 the texts never are.
 
 Defined results: words are split at ASCII white space, A-Z in lower case;
@@ -39,6 +45,9 @@ from lossgrain.llm.common import attach, fresh, pin
 from lossgrain.llm.components import components
 
 
+LEAST_BITS = 1024
+
+
 class _WordHashes(dict):
     """Word to 64-bit hash, of bounded size."""
 
@@ -77,6 +86,18 @@ def needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def bit_count(n: int) -> int:
+    """Bits of the bitmap of a set of ``n`` shingles, a power of two."""
+    return max(LEAST_BITS, 1 << (2 * n - 1).bit_length())
+
+
+def folded(members: np.ndarray) -> np.ndarray:
+    """Bitmap of a set as 64-bit words: each member flips one bit."""
+    bits = bit_count(len(members))
+    flips = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _sets(batches, words, memory):
     """Batches of ``(k, raw)`` as (row, key, shingles)."""
     for batch in batches:
@@ -86,9 +107,9 @@ def _sets(batches, words, memory):
 
 
 def _facts(rows: DataFrame, words: int, slot_bits: int) -> DataFrame:
-    """Per row ``k, n, sid``; and, told by a filled ``slot``, counts of shingles by slot."""
-    schema = "k bigint, n bigint, sid bigint, slot int, amount bigint"
-    names = ["k", "n", "sid", "slot", "amount"]
+    """Per row ``k, n, sid, bits``; and, told by a filled ``slot``, counts of shingles by slot."""
+    schema = "k bigint, n bigint, sid bigint, slot int, amount bigint, bits binary"
+    names = ["k", "n", "sid", "slot", "amount", "bits"]
 
     def measured(batches):
         memory, seen = _WordHashes(), set()
@@ -96,12 +117,12 @@ def _facts(rows: DataFrame, words: int, slot_bits: int) -> DataFrame:
         out = []
 
         def batch_of(columns):
-            return pa.record_batch([pa.array(c, t) for c, t in zip(
-                columns, [pa.int64()] * 3 + [pa.int32(), pa.int64()])], names)
+            kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.binary()]
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
         for key, members in _sets(batches, words, memory):
             sid = set_id(members) if len(members) else None
-            out.append((key, len(members), sid, None, None))
+            out.append((key, len(members), sid, None, None, folded(members).tobytes() if sid is not None else None))
             if sid is not None and sid not in seen:
                 seen.add(sid)
                 np.add.at(amounts, (members >> np.uint64(64 - slot_bits)).astype(np.int64), 1)
@@ -114,7 +135,7 @@ def _facts(rows: DataFrame, words: int, slot_bits: int) -> DataFrame:
         for at in range(0, len(used), 100_000):
             slots = used[at:at + 100_000]
             none = [None] * len(slots)
-            yield batch_of((none, none, none, slots.astype(np.int32), amounts[slots]))
+            yield batch_of((none, none, none, slots.astype(np.int32), amounts[slots], none))
 
     return pin(rows.mapInArrow(measured, schema))
 
@@ -179,6 +200,77 @@ def _leaders(prefix_rows: DataFrame) -> DataFrame:
     return pin(ordered.mapInArrow(led, "leader bigint, sid bigint").distinct())
 
 
+def may_link(sizes: np.ndarray, bitmaps: list[np.ndarray], percent: int) -> np.ndarray:
+    """For sets in order of size: number of the first set each is joined to by pairs that may be similar."""
+    count = len(sizes)
+    root = np.arange(count)
+    upto = np.searchsorted(sizes * percent, sizes * 100, side="right")
+    table, width, first = None, 0, 0
+    for i in range(count - 1):
+        if len(bitmaps[i]) != width:
+            # Larger sets have longer bitmaps; folding in halves brings them to the width of this one.
+            width, first = len(bitmaps[i]), i
+            rows = []
+            for b in bitmaps[i:]:
+                while len(b) > width:
+                    b = b[:len(b) // 2] ^ b[len(b) // 2:]
+                rows.append(b)
+            table = np.stack(rows)
+        j = np.arange(i + 1, upto[i])
+        j = j[root[j] != root[i]]
+        if not len(j):
+            continue
+        differ = np.bitwise_count(table[j - first] ^ bitmaps[i]).sum(axis=1, dtype=np.int64)
+        both = sizes[j] + sizes[i]
+        close = j[differ <= both - 2 * -(-percent * both // (100 + percent))]
+        if len(close):
+            joined = np.unique(np.append(root[close], root[i]))
+            root[np.isin(root, joined)] = joined[0]
+    return root
+
+
+def _families(leaders: DataFrame, per_set: DataFrame, percent: int, largest: int = 2000) -> DataFrame:
+    """``node, root``: the sets that may be similar to another one, by family.
+
+    Clusters stream through a task; one of more than ``largest`` sets is kept
+    whole as soon as it has grown so far.
+    """
+
+    def joined(batches):
+        leader, whole, held = None, False, []  # held: (sid, n, bits) of the cluster
+
+        def edges():
+            nonlocal held, whole
+            sids = np.array([h[0] for h in held], np.int64)
+            whole = whole or len(held) > largest
+            if whole:
+                roots = np.full(len(sids), leader, np.int64)
+            else:
+                roots = sids[may_link(np.array([h[1] for h in held], np.int64),
+                                      [np.frombuffer(h[2], np.uint64) for h in held], percent)]
+            held = []
+            apart = roots != sids
+            if apart.any():
+                yield pa.record_batch([pa.array(roots[apart]), pa.array(sids[apart])], ["a", "b"])
+
+        for batch in batches:
+            for head, *row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if head != leader:
+                    if held:
+                        yield from edges()
+                    leader, whole = head, False
+                held.append(row)
+                if len(held) > largest:
+                    yield from edges()
+        if held:
+            yield from edges()
+
+    members = leaders.unionByName(leaders.select("leader", F.col("leader").alias("sid")).distinct())
+    rows = members.join(per_set.select("sid", "n", "bits"), "sid").select("leader", "sid", "n", "bits")
+    ordered = rows.repartition("leader").sortWithinPartitions("leader", "n", "sid")
+    return components(pin(ordered.mapInArrow(joined, "a bigint, b bigint")))
+
+
 class _Node:
     __slots__ = ("depth", "segment", "children", "ends", "least", "most", "longest", "first", "uniform", "one")
 
@@ -303,14 +395,16 @@ def _cluster_sets(frame):
     return frame["sid"].to_numpy(), [np.frombuffer(x, np.uint64) for x in frame["members"]]
 
 
-def _links(leaders: DataFrame, sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
-    """Links ``a, b`` that span the components of every cluster."""
-    sizes = leaders.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
-    blocks = pin(sizes.select("leader", "n", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks")))
-    dealt = attach(leaders, blocks, "leader", "n").select(
+def _links(families: DataFrame, sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """Links ``a, b`` that span the components of every family."""
+    sizes = families.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    blocks = pin(sizes.select(F.col("root").alias("leader"), "n", F.ceil(F.col("n") / block_sets).cast("int").alias("blocks")))
+    members = pin(families.select(F.col("root").alias("leader"), F.col("node").alias("sid")))
+    dealt = attach(members, blocks, "leader", "n").select(
         "leader", "blocks", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"), "sid")
-    heads = blocks.select("leader", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                          F.col("leader").alias("sid"))
+    heads = blocks.where("blocks > 1").select(
+        "leader", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("leader").alias("sid"))
     filled = dealt.unionByName(heads).join(sets, "sid")
 
     def inner(key, frame):
@@ -326,7 +420,7 @@ def _links(leaders: DataFrame, sets: DataFrame, percent: int, block_sets: int) -
     found = pin(filled.groupBy("leader", "block").applyInPandas(inner, schema))
     links = found.where("a <> b").select("a", "b")
 
-    # Sets of split clusters that the leader does not link meet the blocks of all others.
+    # Sets of split families that their first set does not link meet the blocks of all others.
     apart = found.where(F.col("apart") & (F.col("blocks") > 1)).select(
         "leader", "blocks", F.col("b").alias("sid"))
     if apart.isEmpty():
@@ -372,10 +466,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     order = spark.sparkContext.broadcast(amounts)
     leaders = _leaders(_prefix_rows(rows, words, percent, order, slot_bits))
 
-    # One row of each set in a cluster brings the set; a table of bits says which rows to read again.
+    # One row of each set in a family brings the set; a table of bits says which rows to read again.
     per_set = pin(facts.where(F.col("sid").isNotNull()).groupBy("sid").agg(
-        F.min("k").alias("k"), F.count(F.lit(1)).alias("n_rows")))
-    wanted = leaders.select("sid").unionByName(leaders.select(F.col("leader").alias("sid"))).distinct()
+        F.min("k").alias("k"), F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n"),
+        F.max("bits").alias("bits")))
+    families = pin(_families(leaders, per_set, percent))
+    wanted = families.select(F.col("node").alias("sid"))
     bit_count = 1 << 22
     bit = F.pmod(F.xxhash64("k"), F.lit(bit_count)).cast("int")
     bits = np.zeros(bit_count, bool)
@@ -400,9 +496,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
                                       ["sid", "members"])
 
     sets = pin(rows.withColumn("bit", bit).mapInArrow(fetched, "sid bigint, members binary"))
-    roots = components(_links(leaders, sets, percent, block_sets))
+    roots = components(_links(families, sets, percent, block_sets))
 
-    joined = per_set.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+    joined = per_set.select("sid", "k", "n_rows").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "root", F.coalesce("root", "sid"))
     keepers = joined.groupBy("root").agg(F.min("k").alias("keeper"))
     named = pin(joined.join(keepers, "root").select("sid", "n_rows", "keeper"))

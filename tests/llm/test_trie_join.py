@@ -105,3 +105,18 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(500, 400), (400, 500), (7, 7)]
     found = {x.node: x.root for x in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 400: 400, 500: 400}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.frozensets(st.integers(0, 40), min_size=1, max_size=30), min_size=1, max_size=12),
+       st.sampled_from([8, 64, 1024]))
+def test_bitmaps_exclude_no_similar_pair(sets, least):
+    trie_join.LEAST_BITS = max(least, 64)
+    ordered = sorted((np.array(sorted(s), np.uint64) * np.uint64(97) for s in sets), key=len)
+    roots = trie_join.may_link(np.array([len(s) for s in ordered]),
+                               [trie_join.folded(s) for s in ordered], 85)
+    trie_join.LEAST_BITS = 1024
+    links = trie_join.link_sets(ordered, 85)
+    for i in range(len(ordered)):
+        for j in range(i):
+            assert links[i] != links[j] or roots[i] == roots[j]
