@@ -33,9 +33,19 @@ def month_of_period(c: str | Column) -> Column:
     return F.try_to_timestamp(as_column(c), F.lit("yyyyMM")).cast("date")
 
 
+def known(c: str | Column) -> Column:
+    """The value as a double; NaN becomes null."""
+    value = as_column(c).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def clip(c: str | Column, low: float | None = None, high: float | None = None) -> Column:
-    """Bound a value; null stays null (``least``/``greatest`` would skip it)."""
-    value = as_column(c)
+    """Bound a value; null stays null and NaN becomes null.
+
+    ``least`` and ``greatest`` would skip a null and take NaN for the largest
+    number.
+    """
+    value = known(c)
     out = value
     if low is not None:
         out = F.greatest(out, F.lit(low))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import clip, pearson, share
+from lossgrain.functions.columns import clip, known, pearson, share
 from lossgrain.operators.order_stats import (
     column_quantiles, number_cell, quantiles, with_running_counts,
 )
@@ -75,14 +75,36 @@ def segment_stats(
     return stats.orderBy(order, col)
 
 
-def with_edges(df: DataFrame, bins: int) -> DataFrame:
-    """Rows with a value ``_x``, beside the start and width of equal bins."""
-    known = df.where(F.col("_x").isNotNull())
-    width = (F.max("_x") - F.min("_x")) / F.lit(float(bins))
-    edges = known.agg(F.struct(F.min("_x").alias("lo"), width.alias("width")).alias("e")).scalar()
-    return known.withColumn("_e", edges).select(
-        *df.columns, F.col("_e.lo").alias("_lo"), F.col("_e.width").alias("_width")
-    )
+def with_edges(df: DataFrame, constant: Column) -> DataFrame:
+    """Rows with a value ``_x``, beside the limits ``_lo`` and ``_hi`` of all values.
+
+    ``constant`` is by how much the limits move apart where all values are
+    equal; it is a function of ``_lo``.
+    """
+    rows = df.where(F.col("_x").isNotNull())
+    limits = rows.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("e")).scalar()
+    apart = F.when(F.col("_lo") == F.col("_hi"), constant).otherwise(F.lit(0.0))
+    return rows.withColumn("_e", limits).select(
+        *df.columns, F.col("_e.lo").alias("_lo"), F.col("_e.hi").alias("_hi")
+    ).withColumns({"_lo": F.col("_lo") - apart, "_hi": F.col("_hi") + apart})
+
+
+def edge(number: Column, bins: int) -> Column:
+    """Edge 0 to ``bins`` of equal bins, computed in one way everywhere; the last one is the limit itself."""
+    step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    return F.when(number == bins, F.col("_hi")).otherwise(number * step + F.col("_lo"))
+
+
+def bin_number(bins: int, right_closed: bool) -> Column:
+    """Bin 1 to ``bins`` of ``_x``: estimated by division, then corrected against its two edges."""
+    x, width = F.col("_x"), F.col("_hi") - F.col("_lo")
+    place = F.coalesce(F.try_divide(x - F.col("_lo"), width), F.lit(0.0)) * F.lit(float(bins))
+    guess = F.ceil(place) if right_closed else F.floor(place) + 1
+    first = F.least(F.greatest(guess, F.lit(1)), F.lit(bins)).cast("int")
+    below = x <= edge(first - 1, bins) if right_closed else x < edge(first - 1, bins)
+    above = x > edge(first, bins) if right_closed else x >= edge(first, bins)
+    return (F.when(below & (first > 1), first - 1).when(above & (first < bins), first + 1)
+            .otherwise(first)).cast("int")
 
 
 def binned_mean(
@@ -95,25 +117,24 @@ def binned_mean(
 ) -> DataFrame:
     """Mean of ``y`` in equal-width, right-closed bins of the clipped ``x``.
 
-    Bins run from the smallest to the largest clipped value; empty ones are
-    left out.
+    Bins run from the smallest to the largest clipped value, the smallest one
+    included; empty bins are left out.
     """
-    value = clip(F.col(x).cast("double"), low, high)
-    raw = F.ceil(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_width")))
-    number = F.least(F.greatest(F.coalesce(raw, F.lit(1)), F.lit(1)), F.lit(bins)).cast("int")
+    value = clip(x, low, high)
+    equal = F.when(F.col("_lo") != 0, F.abs(F.col("_lo")) * F.lit(0.001)).otherwise(F.lit(0.001))
     return (
-        with_edges(df.select(value.alias("_x"), F.col(y).alias("_y")), bins)
-        .groupBy(number.alias("bin"))
+        with_edges(df.select(value.alias("_x"), F.col(y).alias("_y")), equal)
+        .groupBy(bin_number(bins, True).alias("bin"))
         .agg(
             F.avg("_y").alias("mean_y"),
             F.count("_y").alias("n"),
             F.max("_lo").alias("_lo"),
-            F.max("_width").alias("_width"),
+            F.max("_hi").alias("_hi"),
         )
         .select(
             "bin",
-            (F.col("_lo") + F.col("_width") * (F.col("bin") - 1)).alias("bin_low"),
-            (F.col("_lo") + F.col("_width") * F.col("bin")).alias("bin_high"),
+            edge(F.col("bin") - 1, bins).alias("bin_low"),
+            edge(F.col("bin"), bins).alias("bin_high"),
             "mean_y",
             "n",
         )
@@ -123,13 +144,11 @@ def binned_mean(
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width, left-closed bins; the last one closed on both sides."""
-    raw = F.floor(F.coalesce(F.try_divide(F.col("_x") - F.col("_lo"), F.col("_width")), F.lit(0.0))) + 1
-    number = F.least(raw, F.lit(bins)).cast("int")
     return (
-        with_edges(df.select(F.col(col).cast("double").alias("_x")), bins)
-        .groupBy(number.alias("bin"))
-        .agg(F.count("*").alias("n"), F.max("_lo").alias("_lo"), F.max("_width").alias("_width"))
-        .select("bin", (F.col("_lo") + F.col("_width") * (F.col("bin") - 1)).alias("bin_low"), "n")
+        with_edges(df.select(known(col).alias("_x")), F.lit(0.5))
+        .groupBy(bin_number(bins, False).alias("bin"))
+        .agg(F.count("*").alias("n"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        .select("bin", edge(F.col("bin") - 1, bins).alias("bin_low"), "n")
         .orderBy("bin")
     )
 
@@ -176,15 +195,19 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(cells))
 
 
-def category_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per category column: number of classes and their sorted list.
-
-    The list is built from one row per class.
-    """
+def category_classes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature, value``: one row per class, however many a column has."""
     pairs = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])
-    classes = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    return classes.groupBy("feature").agg(
-        F.count("*").alias("n_classes"), F.array_sort(F.collect_list("value")).alias("classes")
-    )
+    return df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+
+
+def category_profile(df: DataFrame, columns: Sequence[str], lists: bool = False) -> DataFrame:
+    """Per category column: number of classes.
+
+    ``lists`` adds the sorted list of them, for columns whose classes fit
+    into one value; :func:`category_classes` has them as rows.
+    """
+    extra = [F.array_sort(F.collect_list("value")).alias("classes")] if lists else []
+    return category_classes(df, columns).groupBy("feature").agg(F.count("*").alias("n_classes"), *extra)

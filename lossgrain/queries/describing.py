@@ -76,24 +76,41 @@ def clipped_sql(x: str, low: float, high: float) -> str:
             f"THEN CAST({high} AS DOUBLE) ELSE CAST({x} AS DOUBLE) END")
 
 
-@query("a9_binned_mean", sql(f"""SELECT bin, {rs('any_value(lo) + any_value(w) * (bin - 1)')} AS bin_low,
-  {rs('any_value(lo) + any_value(w) * bin')} AS bin_high, {rs('avg(y)')} AS mean_y, count(*) AS n FROM (
-    SELECT y, lo, w, CAST(least(greatest(coalesce(ceil((x - lo) / nullif(w, 0)), 1), 1), 10) AS INTEGER) AS bin FROM (
-      SELECT x, y, min(x) OVER () AS lo, (max(x) OVER () - min(x) OVER ()) / CAST(10 AS DOUBLE) AS w FROM (
-        SELECT {clipped_sql('ltv_at_default', 0.0, 200.0)} AS x, {Y} AS y FROM features
-        WHERE ltv_at_default IS NOT NULL))) GROUP BY bin""", "features"))
+def edges_sql(values: str, bins: int) -> str:
+    """Tables ``v`` (the values) and ``edges`` (each bin with its two limits)."""
+    return f"""v AS ({values}),
+edges AS (SELECT CAST(i AS INTEGER) AS bin, (i - 1) * w + lo AS low, CASE WHEN i = {bins} THEN hi ELSE i * w + lo END AS high
+  FROM (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / CAST({bins} AS DOUBLE) AS w FROM v), range(1, {bins} + 1) AS r(i))"""
+
+
+def histogram_sql(values: str, bins: int) -> str:
+    """Left-closed bins by comparison with the edge table, for a column ``x`` of different values."""
+    return f"""WITH {edges_sql(values, bins)} SELECT bin, {rs('low')} AS bin_low, count(*) AS n FROM v
+    JOIN edges ON x >= low AND (x < high OR bin = {bins}) GROUP BY bin, low"""
+
+
+@query("a9_binned_mean", sql(f"""SELECT bin, {rs('low')} AS bin_low, {rs('high')} AS bin_high, {rs('avg(y)')} AS mean_y,
+  count(*) AS n FROM v JOIN edges ON x <= high AND (x > low OR bin = 1) GROUP BY bin, low, high""", "features",
+    extra=edges_sql(f"""SELECT {clipped_sql('ltv_at_default', 0.0, 200.0)} AS x, {Y} AS y FROM features
+    WHERE ltv_at_default IS NOT NULL""", 10)))
 def a9(spark, d):
     return rounded(ds.binned_mean(pin(features(spark, d))), ["bin_low", "bin_high", "mean_y"])
 
 
-@query("a10_histogram", sql(f"""SELECT bin, {rs('any_value(lo) + any_value(w) * (bin - 1)')} AS bin_low, count(*) AS n FROM (
-    SELECT lo, w, CAST(least(floor(coalesce((x - lo) / nullif(w, 0), 0)) + 1, 50) AS INTEGER) AS bin FROM (
-      SELECT x, min(x) OVER () AS lo, (max(x) OVER () - min(x) OVER ()) / CAST(50 AS DOUBLE) AS w
-      FROM (SELECT {Y} AS x FROM cleaned WHERE {Y} IS NOT NULL))) GROUP BY bin""", "cleaned"))
+@query("a10_histogram", sql(
+    f"SELECT * FROM ({histogram_sql(f'SELECT {Y} AS x FROM cleaned WHERE {Y} IS NOT NULL', 50)})", "cleaned"))
 def a10(spark, d):
     return rounded(ds.histogram(pin(cleaned(spark, d)), Y, 50), ["bin_low"])
 
 
+@query("a10_histogram_of_hundredths", sql(
+    f"SELECT * FROM ({histogram_sql(f'SELECT round({Y}, 2) AS x FROM cleaned WHERE {Y} IS NOT NULL', 50)})", "cleaned"))
+def a10_hundredths(spark, d):
+    """Losses of two decimals lie on the edges of their bins."""
+    losses = cleaned(spark, d).select(F.round(Y, 2).alias(Y))
+    return rounded(ds.histogram(pin(losses), Y, 50), ["bin_low"])
+
+
 @query("a11_ecdf", sql(f"""SELECT {rs('value', 9)} AS value, n, {rs('(upto - n + 1) / CAST(total AS DOUBLE)', 9)} AS first_step,
   {rs('upto / CAST(total AS DOUBLE)', 9)} AS last_step FROM (
     SELECT value, n, sum(n) OVER (ORDER BY value) AS upto, sum(n) OVER () AS total FROM (
@@ -141,7 +158,7 @@ A15 = ["property_type", "occupancy_status", "channel", "property_state"]
     array_to_string(list_sort(list(DISTINCT {c}) FILTER (WHERE {c} IS NOT NULL)), ',') AS classes FROM orig"""
     for c in A15), "orig"))
 def a15(spark, d):
-    profile = ds.category_profile(orig(spark, d), A15)
+    profile = ds.category_profile(orig(spark, d), A15, lists=True)
     return profile.withColumn("classes", F.array_join("classes", ","))
 
 

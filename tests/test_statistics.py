@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ def sample(spark):
     return values, spark.createDataFrame(rows, "g string, v double").repartition(5)
 
 
-@pytest.mark.parametrize("bound", [1000, 0])
+@pytest.mark.parametrize("bound", [1 << 20, 0])
 def test_group_quantiles_match_numpy(sample, bound, monkeypatch):
     monkeypatch.setattr(os_, "measured", lambda t, _: lk.measured(t, bound))
     values, df = sample
@@ -93,14 +94,24 @@ def test_histogram_and_bins_match_numpy(spark):
     counts, edges = np.histogram(x, 30)
     got = ds.histogram(df, "x", 30).collect()
     assert {r.bin: r.n for r in got} == {i + 1: c for i, c in enumerate(counts) if c}
-    clipped = np.clip(x, 0, 200)
-    number = np.clip(np.ceil((clipped - clipped.min()) / ((clipped.max() - clipped.min()) / 10)), 1, 10)
     bins = {r.bin: (r.mean_y, r.n) for r in ds.binned_mean(df, "x", "y").collect()}
+    number = pd.cut(np.clip(x, 0, 200), 10, labels=False) + 1
+    assert set(bins) == set(np.unique(number))
     for b, (mean, n) in bins.items():
         assert n == (number == b).sum() and mean == pytest.approx(y[number == b].mean())
-    flat = spark.createDataFrame([(2.0, 0.5)] * 3, "x double, y double")
-    assert [(r.bin, r.n) for r in ds.binned_mean(flat, "x", "y").collect()] == [(1, 3)]
-    assert [(r.bin, r.n) for r in ds.histogram(flat, "x", 5).collect()] == [(1, 3)]
+
+
+@pytest.mark.parametrize("low, high, bins", [(0, 100, 50), (10, 110, 10), (0, 30, 30), (7, 93, 13), (5, 5, 10)])
+def test_values_on_edges_fall_as_in_numpy_and_pandas(spark, low, high, bins):
+    x = np.repeat(np.arange(low, high + 1) / 100, 3)
+    df = spark.createDataFrame([(float(v), 0.5) for v in x] + [(None, 0.5), (float("nan"), 0.5)], "x double, y double")
+    counts, edges = np.histogram(x, bins)
+    rows = ds.histogram(df, "x", bins).collect()
+    assert {r.bin: r.n for r in rows} == {i + 1: c for i, c in enumerate(counts) if c}
+    assert [r.bin_low for r in rows] == pytest.approx([edges[r.bin - 1] for r in rows])
+    number = pd.cut(x, bins, labels=False) + 1
+    got = {r.bin: r.n for r in ds.binned_mean(df, "x", "y", bins).collect()}
+    assert got == {b: (number == b).sum() for b in np.unique(number)}
 
 
 def test_correlation_of_constant_is_null(spark):
@@ -120,7 +131,7 @@ def test_correlation_of_constant_is_null(spark):
 def test_lookup_paths_agree(spark, small):
     big = spark.range(300).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"), "id")
     table = spark.range(0, 30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = lk.lookup_join(big, table, ["k"], bound=1000 if small else 0)
+    joined = lk.lookup_join(big, table, ["k"], bound=1 << 20 if small else 0)
     assert joined.count() == 300
     assert joined.where("k < 30 and v <> k * 2").count() == 0
     assert joined.where("v is null").count() == joined.where("k >= 30").count()
