@@ -128,11 +128,11 @@ FEATURE_NAMES = {"property_state": "state", "orig_loan_term": "orig_term"}
 
 # States by region; every other code is "Other".
 REGION_STATES = {
-    "Northeast": "CT ME MA NH RI VT NJ NY PA".split(),
-    "Southeast": "DE FL GA MD NC SC VA WV AL KY MS TN AR LA".split(),
-    "Midwest": "IL IN MI OH WI IA KS MN MO NE ND SD".split(),
-    "Southwest": "AZ NM OK TX".split(),
-    "West": "AK CA CO HI ID MT NV OR UT WA WY DC".split(),
+    "Northeast": ["CT", "ME", "MA", "NH", "RI", "VT", "NJ", "NY", "PA"],
+    "Southeast": ["DE", "FL", "GA", "MD", "NC", "SC", "VA", "WV", "AL", "KY", "MS", "TN", "AR", "LA"],
+    "Midwest": ["IL", "IN", "MI", "OH", "WI", "IA", "KS", "MN", "MO", "NE", "ND", "SD"],
+    "Southwest": ["AZ", "NM", "OK", "TX"],
+    "West": ["AK", "CA", "CO", "HI", "ID", "MT", "NV", "OR", "UT", "WA", "WY", "DC"],
 }
 
 # Model features in model order, and the target.

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import finite, lookup, varies
-from lossgrain.operators.lookup import BROADCAST_ROWS, SALTS, attach, measured
+from lossgrain.functions.columns import finite, known, lookup, varies
+from lossgrain.operators.lookup import BROADCAST_BYTES, attach, measured
 from lossgrain.operators.order_stats import text_cell, with_running_counts
 
 UNKNOWN = "Unknown"
@@ -19,11 +19,12 @@ def with_ltv_at_default(df: DataFrame, balance_col: str = "zero_balance_removal_
     if not {"orig_ltv", "orig_upb"} <= set(df.columns):
         fallback = F.col("orig_ltv") if "orig_ltv" in df.columns else F.lit(80.0)
         return df.withColumn("ltv_at_default", fallback)
-    ltv = F.when(F.col("orig_ltv") != 0, F.greatest(F.col("orig_ltv").cast("double"), F.lit(1.0)))
+    orig_ltv = known("orig_ltv")
+    ltv = F.when(orig_ltv != 0, F.greatest(orig_ltv, F.lit(1.0)))
     value = F.col("orig_upb") / (ltv / F.lit(100.0))
     if "hpi_change" in df.columns:
-        value = value * (F.lit(1.0) + F.coalesce(F.col("hpi_change"), F.lit(0.0)))
-    ratio = F.try_divide(F.col(balance_col), value) * F.lit(100.0)
+        value = value * (F.lit(1.0) + F.coalesce(known("hpi_change"), F.lit(0.0)))
+    ratio = known(F.try_divide(F.col(balance_col), value) * F.lit(100.0))
     return df.withColumn(
         "ltv_at_default", F.when(ratio.isNotNull(), F.least(ratio, F.lit(300.0)))
     )
@@ -70,8 +71,8 @@ def apply_encoder(
     dictionary: DataFrame,
     columns: Sequence[str] = tuple(K.CATEGORICAL_FEATURES),
     unknown: str = "error",
-    bound: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    bound: int = BROADCAST_BYTES,
+    salts: int | None = None,
 ) -> DataFrame:
     """Values to fitted codes.
 

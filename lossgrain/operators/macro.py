@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
 from lossgrain.functions.columns import month_of_period
-from lossgrain.operators.lookup import BROADCAST_ROWS, attach, lookup_join, measured
+from lossgrain.operators.lookup import BROADCAST_BYTES, attach, lookup_join, measured
 
 
 def default_month(
@@ -23,11 +23,13 @@ def join_hpi(
     hpi: DataFrame,
     origination: Column | None = None,
     default: Column | None = None,
-    bound: int = BROADCAST_ROWS,
+    bound: int = BROADCAST_BYTES,
+    by: str = "state",
 ) -> DataFrame:
-    """Index change between two quarters of a state; 0 where one is missing.
+    """Index change between two quarters of an area; 0 where one is missing.
 
-    ``hpi`` has one row per ``state, year, quarter`` with the index ``hpi``.
+    ``hpi`` has one row per ``by, year, quarter`` with the index ``hpi``;
+    ``by`` is a column of both sides, ``state`` or ``msa``.
     """
     origination = month_of_period("first_payment_date") if origination is None else origination
     default = default_month() if default is None else default
@@ -36,12 +38,12 @@ def join_hpi(
     for side in ("from", "to"):
         keys = {f"_y_{side}": F.year(f"_{side}"), f"_q_{side}": F.quarter(f"_{side}")}
         points = table.select(
-            "state",
+            by,
             F.col("year").alias(f"_y_{side}"),
             F.col("quarter").alias(f"_q_{side}"),
             F.col("hpi").alias(f"_hpi_{side}"),
         )
-        dated = attach(dated.withColumns(keys), points, ["state", *keys], small=small)
+        dated = attach(dated.withColumns(keys), points, [by, *keys], small=small)
     change = F.try_divide(F.col("_hpi_to"), F.col("_hpi_from")) - F.lit(1.0)
     return dated.withColumn("hpi_change", F.coalesce(change, F.lit(0.0))).select(
         *[c for c in loans.columns if c != "hpi_change"], "hpi_change"
@@ -52,7 +54,7 @@ def join_unemployment(
     loans: DataFrame,
     rates: DataFrame,
     default: Column | None = None,
-    bound: int = BROADCAST_ROWS,
+    bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rate of the state in the month of default, 7.5 where missing.
 
@@ -68,57 +70,56 @@ def join_unemployment(
     )
 
 
-def fill_months(series: DataFrame, by: Sequence[str], month: str, value: str) -> DataFrame:
-    """A monthly series without gaps: each value holds until the next one.
+def observations_by_month(series: DataFrame, by: Sequence[str], date: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """The series per month, and its newest observations.
 
-    Adds ``_last``: true for the newest observation, which also holds for all
-    later months.
+    A month has its own observations in order and the last one before it, so
+    an event of the month finds its value without other months. Missing dates
+    and values are no observations; of several at one date the largest holds.
     """
     by = list(by)
-    following = F.lead(month).over(Window.partitionBy(*by).orderBy(month))
-    until = F.coalesce(F.add_months(F.col("_next"), -1), F.col(month))
-    return (
-        series.select(*by, F.trunc(month, "month").alias(month), value)
-        .withColumn("_next", following)
-        .withColumn("_held", F.explode(F.sequence(F.col(month), until, F.expr("interval 1 month"))))
-        .select(
-            *by,
-            F.col("_held").alias(month),
-            value,
-            (F.col("_next").isNull() & (F.col("_held") == F.col(month))).alias("_last"),
-        )
+    points = (
+        series.select(*by, F.col(date).cast("date").alias("_date"), F.col(value).alias("_value"))
+        .where(F.col("_date").isNotNull() & F.col("_value").isNotNull())
+        .groupBy(*by, "_date").agg(F.max("_value").alias("_value"))
+        .withColumn("_next", F.lead("_date").over(Window.partitionBy(*by).orderBy("_date")))
     )
+    until = F.trunc(F.coalesce(F.date_sub("_next", 1), F.col("_date")), "month")
+    held = points.withColumn(
+        "_month", F.explode(F.sequence(F.trunc("_date", "month"), until, F.expr("interval 1 month"))))
+    months = held.groupBy(*by, "_month").agg(
+        F.sort_array(F.collect_list(F.struct("_date", "_value"))).alias("_seen"))
+    newest = points.where(F.col("_next").isNull()).select(
+        *by, F.col("_date").alias("_end"), F.col("_value").alias("_end_value"))
+    return months, newest
 
 
 def asof_macro(
     loans: DataFrame,
     series: DataFrame,
     by: Sequence[str],
-    event_month: Column,
-    month: str = "month",
+    event: Column,
+    date: str = "month",
     value: str = "rate",
-    bound: int = BROADCAST_ROWS,
+    bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Newest observation at or before the event month, null if none.
+    """Newest observation at or before the event's day, null if none.
 
-    The series (one row per ``by`` and month) is filled to every month, so
-    the as-of question becomes an equality lookup; months after the end of a
-    series use its last point. No pair of loan and observation other than the
-    matching one is ever formed.
+    The series is laid out by month, which makes the as-of question an
+    equality lookup; the days are compared inside the row that was found. No
+    observation after the event is used, and no pair of loan and observation
+    other than the month's own is ever formed.
     """
     by = list(by)
-    filled, small = measured(fill_months(series, by, month, value), bound)
-    points = filled.select(*by, F.col(month).alias("_event"), F.col(value).alias("_held_value"))
-    newest = filled.where("_last").select(
-        *by, F.col(month).alias("_end"), F.col(value).alias("_end_value")
-    )
-    dated = loans.withColumn("_event", F.trunc(event_month, "month"))
-    found = attach(dated, points, [*by, "_event"], small=small)
-    found = attach(found, newest, by, small=small)
-    after = F.when(F.col("_event") > F.col("_end"), F.col("_end_value"))
-    return found.withColumn(f"{value}_asof", F.coalesce(F.col("_held_value"), after)).select(
-        *loans.columns, f"{value}_asof"
-    )
+    months, newest = observations_by_month(series, by, date, value)
+    months, small = measured(months, bound)
+    newest, few = measured(newest, bound)
+    dated = loans.withColumn("_event", event.cast("date")).withColumn("_month", F.trunc("_event", "month"))
+    found = attach(attach(dated, months, [*by, "_month"], small=small), newest, by, small=few)
+    before = F.filter("_seen", lambda o: o["_date"] <= F.col("_event"))
+    at = F.when(F.col("_event") >= F.col("_end"), F.col("_end_value")).otherwise(
+        F.try_element_at(before, F.lit(-1))["_value"])
+    return found.withColumn(f"{value}_asof", at).select(*loans.columns, f"{value}_asof")
 
 
 def cross_scenarios(

@@ -122,14 +122,15 @@ def months_delinquent(
 ) -> DataFrame:
     """Per defaulted loan: months 90+ days late before its resolution.
 
-    Only late or resolving records are shuffled, already reduced to one row
-    per loan and month; the window and the final sum share one partitioning.
+    Only late or resolving records are shuffled, once and by loan: the months,
+    the window and the final sum share that partitioning.
     ``non_numeric`` lists text statuses to count as late (default: none).
     """
     late, resolving = late_or_resolving(status, codes, threshold, non_numeric)
     monthly = (
         history.select(key, F.col(period).alias("_period"), late.alias("_late"), resolving.alias("_end"))
         .where(F.col("_late") | F.col("_end"))
+        .repartition(key)
         .groupBy(key, "_period")
         .agg(F.count_if("_late").alias("_n_late"), F.bool_or("_end").alias("_end"))
     )

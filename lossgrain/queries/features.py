@@ -187,18 +187,41 @@ def j3(spark, d):
     return loans.select("loan_seq_num", "unemployment_rate_at_default")
 
 
-J4 = f"gaps AS (SELECT * FROM rates WHERE month(month) % 4 = 1),\n" \
-     f"dated AS (SELECT *, {DEFAULT_MONTH} AS event FROM cleaned)"
+J4 = f"""observed AS (SELECT state, CAST(month + k AS DATE) AS day, rate + day(CAST(month + k AS DATE)) AS rate
+  FROM rates, (VALUES (4), (19)) AS t(k) WHERE month(month) % 4 = 1),
+dated AS (SELECT *, CAST({DEFAULT_MONTH} + CAST(length(loan_seq_num) * 5 AS INTEGER) AS DATE) AS event FROM cleaned)"""
 
 
 @query("j4_asof_macro", sql("""SELECT d.loan_seq_num, g.rate AS rate_asof FROM dated d
-  ASOF LEFT JOIN gaps g ON d.state = g.state AND d.event >= g.month""", "cleaned", "rates", extra=J4))
+  ASOF LEFT JOIN observed g ON d.state = g.state AND d.event >= g.day""", "cleaned", "rates", extra=J4))
 def j4(spark, d):
-    gaps = rates(spark, d).where(F.month("month") % 4 == 1)
-    loans = macro.asof_macro(cleaned(spark, d), gaps, ["state"], macro.default_month())
+    """Events and observations inside months, none or several observations a month."""
+    observed = rates(spark, d).where(F.month("month") % 4 == 1).select(
+        "state", F.explode(F.array(F.date_add("month", 4), F.date_add("month", 19))).alias("day"),
+        "rate").withColumn("rate", F.col("rate") + F.dayofmonth("day"))
+    event = F.date_add(macro.default_month(), (F.length("loan_seq_num") * 5).cast("int"))
+    loans = macro.asof_macro(cleaned(spark, d), observed, ["state"], event, "day")
     return loans.select("loan_seq_num", "rate_asof")
 
 
+@query("j2_join_hpi_msa", sql(f"""SELECT c.loan_seq_num,
+  {rs("coalesce(CASE WHEN h0.hpi <> 0 THEN h1.hpi / h0.hpi - 1 END, CAST(0 AS DOUBLE))")} AS hpi_change
+  FROM (SELECT *, 'M' || CAST(customer % 40 AS VARCHAR) AS msa, CAST(strptime(first_payment_date, '%Y%m') AS DATE) AS m0,
+    {DEFAULT_MONTH} AS m1 FROM cleaned) c
+  LEFT JOIN areas h0 ON c.msa = h0.msa AND year(m0) = h0.year AND quarter(m0) = h0.quarter
+  LEFT JOIN areas h1 ON c.msa = h1.msa AND year(m1) = h1.year AND quarter(m1) = h1.quarter""", "cleaned", extra="""areas AS (
+  SELECT 'M' || CAST(l_suppkey % 37 AS VARCHAR) AS msa, CAST(year(l_shipdate) AS INTEGER) AS year,
+    CAST(quarter(l_shipdate) AS INTEGER) AS quarter, round(avg(l_extendedprice), 2) AS hpi FROM lineitem GROUP BY ALL)"""))
+def j2_msa(spark, d):
+    """House prices by metropolitan area; some areas have none."""
+    area = lambda c, n: F.concat(F.lit("M"), (F.col(c) % n).cast("string"))
+    prices = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(
+        area("l_suppkey", 37).alias("msa"), F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter"),
+    ).agg(F.round(F.avg("l_extendedprice"), 2).alias("hpi"))
+    loans = cleaned(spark, d).withColumn("msa", area("customer", 40))
+    return rounded(macro.join_hpi(loans, prices, by="msa"), ["hpi_change"]).select("loan_seq_num", "hpi_change")
+
+
 SCENARIO_SQL = "scenarios AS (SELECT * FROM (VALUES " + ", ".join(
     f"('{n}', {s}, CAST({u} AS DOUBLE), CAST({h} AS DOUBLE))" for n, s, u, h in K.SCENARIOS
 ) + ") AS s(scenario, severity, d_unemployment, d_hpi))"

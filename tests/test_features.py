@@ -9,18 +9,20 @@ from lossgrain.operators import macro
 from lossgrain.operators import resolve as rv
 from lossgrain.operators import transform as tr
 
-ORIG = [("A001", 80.0, 200000.0, 4.5, 360, "CA", "SF", "P", "R", "201001"),
-        ("A002", 95.0, 300000.0, 5.0, 360, "TX", "SF", "I", "B", "201103"),
-        ("A003", 70.0, 150000.0, 3.75, 180, "NY", "CO", "P", "C", "201206"),
-        ("A004", 110.0, 250000.0, 6.0, 360, "FL", "SF", "S", "R", "201304")]
+ORIG = [("K-1", 72.0, 131000.0, 3.9, 360, "OR", "MH", "P", "T", "200907"),
+        ("K-2", 101.0, 77500.0, 6.3, 240, "OH", "PU", "S", "C", "201002"),
+        ("K-3", 88.0, 410000.0, 5.2, 300, "GA", "SF", "I", "R", "201410"),
+        ("K-4", 64.0, 96000.0, 4.1, 180, "MA", "CO", "P", "B", "201511")]
 ORIG_SCHEMA = ("loan_seq_num string, orig_ltv double, orig_upb double, orig_interest_rate double, "
                "orig_loan_term int, property_state string, property_type string, occupancy_status string, "
                "channel string, first_payment_date string")
-PERF = [("A001", 180000.0, 149000.0, 5000.0, 0.0, 0.2), ("A002", 290000.0, 240000.0, 8000.0, 2000.0, 56 / 290),
-        ("A003", 140000.0, 142000.0, 2000.0, 0.0, 0.0), ("A004", 0.0, 200000.0, 3000.0, 0.0, None),
-        ("B001", 100000.0, 100000.0, 0.0, 0.0, 0.0), ("C001", 100000.0, 0.0, 150000.0, 0.0, 1.0),
-        ("D001", 200000.0, 160000.0, 10000.0, 0.0, 0.25), ("D002", 150000.0, 120000.0, 8000.0, 0.0, 38 / 150),
-        ("E001", 100000.0, None, None, None, 1.0), ("E002", -5.0, 0.0, 0.0, 0.0, None), ("E003", None, 0.0, 0.0, 0.0, None)]
+# (key, balance, proceeds, expenses, insurance, expected loss)
+PERF = [("part", 64000.0, 40000.0, 4000.0, 12000.0, 16 / 64), ("quarter", 120000.0, 100000.0, 15000.0, 5000.0, 30 / 120),
+        ("gain", 90000.0, 99000.0, 1000.0, 0.0, 0.0), ("even", 50000.0, 50000.0, 0.0, 0.0, 0.0),
+        ("capped", 70000.0, 10000.0, 30000.0, 0.0, 1.0), ("nothing known", 30000.0, None, None, None, 1.0),
+        ("no balance", 0.0, 1000.0, 0.0, 0.0, None), ("negative", -1.0, 0.0, 0.0, 0.0, None),
+        ("null balance", None, 0.0, 0.0, 0.0, None), ("NaN loss", 1000.0, float("nan"), 0.0, 0.0, None),
+        ("no end", float("inf"), 0.0, 0.0, 0.0, None)]
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +33,10 @@ def orig(spark):
 def test_target(spark):
     perf = spark.createDataFrame([p[:5] for p in PERF], "loan_seq_num string, zero_balance_removal_upb double, "
                                  "net_sale_proceeds double, expenses double, mi_recoveries double")
-    got = {r.loan_seq_num: r[K.TARGET] for r in rv.with_lgd(perf).collect()}
+    got = {r.loan_seq_num: r[K.TARGET] for r in rv.drop_null_target(rv.with_lgd(perf)).collect()}
     assert got == pytest.approx({p[0]: p[5] for p in PERF if p[5] is not None})
     fallback = rv.with_lgd(perf.drop("expenses").withColumn("actual_loss", F.col("net_sale_proceeds") / 2))
-    assert {r.loan_seq_num: r[K.TARGET] for r in fallback.collect()}["E001"] == 0.0
+    assert {r.loan_seq_num: r[K.TARGET] for r in fallback.collect()}["nothing known"] == 0.0
 
 
 def ltv(spark, orig_ltv, upb, balance, hpi):
@@ -51,10 +53,11 @@ def test_ltv_at_default(spark, orig):
     assert ltv(spark, 80.0, 200000.0, 195000.0, 0.0) == pytest.approx(78.0)
     assert ltv(spark, 80.0, 200000.0, 195000.0, -0.2) == pytest.approx(97.5)
     assert ltv(spark, 80.0, 200000.0, 195000.0, None) == pytest.approx(78.0)
-    for unknown in ((0.0, 1.0, 1.0, 0.0), (80.0, 0.0, 1.0, 0.0), (80.0, 1.0, 1.0, -1.0), (80.0, 1.0, None, 0.0)):
+    assert ltv(spark, 80.0, 200000.0, 195000.0, float("nan")) == pytest.approx(78.0)
+    for unknown in ((float("nan"), 1.0, 1.0, 0.0), (80.0, 1.0, float("nan"), 0.0), (0.0, 1.0, 1.0, 0.0), (80.0, 0.0, 1.0, 0.0), (80.0, 1.0, 1.0, -1.0), (80.0, 1.0, None, 0.0)):
         assert ltv(spark, *unknown) is None
     assert ft.with_ltv_at_default(orig.drop("orig_ltv")).first().ltv_at_default == 80.0
-    assert ft.with_ltv_at_default(orig.drop("orig_upb")).first().ltv_at_default == 80.0
+    assert ft.with_ltv_at_default(orig.drop("orig_upb")).first().ltv_at_default == ORIG[0][1]
 
 
 def test_placeholders_do_not_overwrite(spark, orig):
@@ -75,13 +78,14 @@ def test_region_and_flag(spark):
 def test_encoder(spark, orig):
     dictionary = ft.fit_encoder(orig, ["property_type", "channel", "absent"])
     codes = {(r.column, r.value): r.code for r in dictionary.collect()}
-    assert codes == {("property_type", "CO"): 0, ("property_type", "SF"): 1,
-                     ("channel", "B"): 0, ("channel", "C"): 1, ("channel", "R"): 2}
+    assert codes == {("property_type", "CO"): 0, ("property_type", "MH"): 1, ("property_type", "PU"): 2,
+                     ("property_type", "SF"): 3, ("channel", "B"): 0, ("channel", "C"): 1, ("channel", "R"): 2,
+                     ("channel", "T"): 3}
     new = spark.createDataFrame([("SF", "R"), ("ZZ", None)], "property_type string, channel string")
     cols = ["property_type", "channel"]
-    for bound in (100, 0):  # broadcast and shuffled lookup
+    for bound in (1 << 20, 0):  # broadcast and shuffled lookup
         got = ft.apply_encoder(new, dictionary, cols, "next", bound).collect()
-        assert sorted(tuple(r) for r in got) == [(1, 2), (2, 3)]
+        assert sorted(tuple(r) for r in got) == [(3, 2), (4, 4)]
     with pytest.raises(PySparkException, match="not fitted"):
         ft.apply_encoder(new, dictionary, cols).collect()
 
@@ -121,7 +125,7 @@ LOANS = [("1", "CA", "201001", "201206"), ("2", "CA", "201001", "201301"), ("3",
          ("4", "TX", "201001", "201206"), ("5", "CA", None, "201206"), ("6", "CA", "201001", "200901")]
 
 
-@pytest.mark.parametrize("bound", [1000, 0])
+@pytest.mark.parametrize("bound", [1 << 20, 0])
 def test_macro_joins(spark, bound):
     loans = spark.createDataFrame(LOANS, "loan_seq_num string, state string, first_payment_date string, "
                                   "zero_balance_effective_date string").withColumn("monthly_reporting_period", F.lit(None).cast("string"))
@@ -154,3 +158,17 @@ def test_scenarios_repeat_each_loan(spark):
     rows = macro.cross_scenarios(loans).orderBy("severity").collect()
     assert [r.unemployment_rate_at_default for r in rows] == [5.0, 7.0, 9.0, 11.0]
     assert [r.hpi_change for r in rows] == pytest.approx([0.1, 0.0, -0.1, -0.2])
+
+
+def test_asof_looks_at_days_and_never_ahead(spark):
+    from pyspark.sql.functions import to_date
+    series = spark.createDataFrame(
+        [("s", "2012-02-10", 1.0), ("s", "2012-03-04", 2.0), ("s", "2012-03-20", 3.0), ("s", "2012-03-20", 2.5),
+         ("s", "2012-07-01", 4.0), ("s", None, 9.0), ("s", "2012-04-01", None), ("t", "2012-03-31", 7.0)],
+        "state string, d string, rate double").select("state", to_date("d").alias("d"), "rate")
+    days = {"2012-02-09": None, "2012-02-10": 1.0, "2012-03-03": 1.0, "2012-03-05": 2.0, "2012-03-19": 2.0,
+            "2012-03-20": 3.0, "2012-06-30": 3.0, "2012-07-01": 4.0, "2030-01-01": 4.0, None: None}
+    loans = spark.createDataFrame([("s", d) for d in days] + [("t", "2012-03-30"), ("u", "2012-03-30")], "state string, e string")
+    for bound in (1 << 20, 0):
+        got = {(r.state, r.e): r.rate_asof for r in macro.asof_macro(loans, series, ["state"], to_date("e"), "d", bound=bound).collect()}
+        assert got == {**{("s", d): v for d, v in days.items()}, ("t", "2012-03-30"): None, ("u", "2012-03-30"): None}

@@ -46,9 +46,9 @@ def test_join_uses_the_partitioning_of_the_aggregate(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_late_months_take_two_shuffles(spark):
+def test_late_months_take_one_shuffle(spark):
     text = plan(rv.months_delinquent(tb.hist(spark, SMALL)))
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_scenarios_join_nothing(spark, cleaned):
