@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lossgrain.queries import QUERIES  # noqa: E402
-from lossgrain.session import session  # noqa: E402
+from lossgrain.session import release, session  # noqa: E402
 
 HEADLINE = [
     "a2_last_per_loan",
@@ -46,6 +47,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
@@ -55,6 +57,7 @@ def main() -> None:
         # The sink takes every row, so nothing is pruned away or collected.
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - started, 3)
+        release(spark)
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import share, tail_weight, total, varies
+from lossgrain.functions.columns import share, tail_weight, varies
 from lossgrain.operators.describe import histogram
-from lossgrain.operators.lookup import BROADCAST_ROWS, attach, measured
+from lossgrain.operators.lookup import BROADCAST_BYTES, attach, measured
 from lossgrain.operators.order_stats import quantiles
 
 SEGMENT = ("property_type", "occupancy_status", "vintage_year")
@@ -27,7 +27,7 @@ def apply_segment_benchmark(
     segments: DataFrame,
     by: Sequence[str] = SEGMENT,
     name: str = "prediction",
-    bound: int = BROADCAST_ROWS,
+    bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Segment mean as prediction; the overall training mean where unseen."""
     segments, small = measured(segments, bound)
@@ -99,8 +99,7 @@ def calibration(
 ) -> DataFrame:
     """Predicted against actual mean in equally filled prediction bins."""
     cuts = cut_points(df, p, bins)
-    above = [F.when(F.col("_p") > F.col("_cuts")[i], 1).otherwise(0) for i in range(bins - 1)]
-    number = total([F.lit(1), *above])
+    number = F.size(F.filter("_cuts", lambda cut: F.col("_p") > cut)) + 1
     return (
         df.select(F.col(y).alias("_y"), F.col(p).alias("_p"))
         .where(F.col("_p").isNotNull() & F.col("_y").isNotNull())

@@ -1,8 +1,8 @@
 """Joins of a large frame to a reference table of unknown size.
 
-A table is broadcast only when it was counted and found small. Beyond that
-bound the join is a shuffle join in which every key is spread over several
-tasks, so that a key owning a large part of the rows is no bottleneck.
+A table is broadcast only when it was written and its bytes were found small.
+Beyond that bound the join is a shuffle join in which every key is spread over
+several tasks, so that a key owning a large part of the rows is no bottleneck.
 """
 
 from __future__ import annotations
@@ -11,16 +11,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lossgrain.session import pin
+from lossgrain.session import pin, stored_bytes
 
-BROADCAST_ROWS = 200_000
-SALTS = 16
+#: Bytes of a written (compressed) table up to which it is broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
-def measured(table: DataFrame, bound: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The table computed once, and whether it has at most ``bound`` rows."""
+def measured(table: DataFrame, bound: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The table computed once, and whether its files have at most ``bound`` bytes."""
     table = pin(table)
-    return table, table.count() <= bound
+    return table, stored_bytes(table) <= bound
+
+
+def salt_count(df: DataFrame) -> int:
+    """Parts that a hot key is spread over: the shuffle partitions, so a key can use them all."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def attach(
@@ -29,11 +34,12 @@ def attach(
     on: Sequence[str],
     how: str = "left",
     small: bool = False,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join to a table with unique keys: broadcast if small, salted if not."""
     if small:
         return df.join(F.broadcast(table), list(on), how)
+    salts = salts or salt_count(df)
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
     row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)).cast("int")
@@ -45,8 +51,8 @@ def lookup_join(
     table: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    bound: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    bound: int = BROADCAST_BYTES,
+    salts: int | None = None,
 ) -> DataFrame:
     """Compute and count ``table``, then join it in the way its size allows."""
     table, small = measured(table, bound)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lossgrain.operators.lookup import BROADCAST_ROWS, measured
+from lossgrain.operators.lookup import BROADCAST_BYTES, measured
 from lossgrain.session import pin
 
 STEPS = 8192
@@ -90,7 +90,7 @@ def order_statistics(
     cell: Column,
     by: Sequence[str] = (),
     few_groups: bool = False,
-    bound: int = BROADCAST_ROWS,
+    bound: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The values at given 0-based ranks of each group.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +24,12 @@ def session(app: str = "lossgrain", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local-mode session without the setting gets a temporary folder; on a
-    cluster a missing setting is an error, because a folder of one machine
-    cannot hold another executor's checkpoint.
+    Without the setting it is a folder below the warehouse, which a cluster
+    points at shared storage.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lossgrain-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lossgrain-shared"
     return base
 
 
@@ -43,6 +38,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Tables of this process that :func:`release` may delete.
+_PINNED: list[str] = []
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a columnar table in the shared folder.
 
@@ -51,4 +50,17 @@ def pin(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
+    _PINNED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_bytes(table: DataFrame) -> int:
+    """Size of the files of a pinned table, as the optimizer sees it."""
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the pinned tables, once nothing that reads them is wanted any more."""
+    while _PINNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PINNED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
