@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -14,25 +16,44 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import clip, tail_weight, total
-from lossgrain.operators.features import sanitize
+from lossgrain.functions.columns import clip, finite, known, tail_weight, total
+from lossgrain.operators.features import sanitize, scaler_stats
 from lossgrain.operators.macro import cross_scenarios
+from lossgrain.session import pin
+
+
+log = logging.getLogger(__name__)
+
+#: Mean and scale by feature.
+Scaler = Mapping[str, tuple[float, float]]
 
 
 @dataclass(frozen=True)
 class LinearScorer:
-    """Coefficients by feature name; a score is one column expression."""
+    """Coefficients by feature name; a score is one column expression.
+
+    With a ``scaler`` the coefficients belong to standardised features, in
+    which a missing value is 0, the training mean.
+    """
 
     intercept: float
     coefficients: Mapping[str, float]
     link: str = "logit"
+    scaler: Scaler | None = None
 
     @property
     def features(self) -> list[str]:
         return list(self.coefficients)
 
+    def input(self, c: str, value: Column) -> Column:
+        """What the coefficient of a feature is multiplied by."""
+        if self.scaler is None:
+            return value
+        mean, width = self.scaler[c]
+        return finite((value - F.lit(float(mean))) / F.lit(float(width)))
+
     def linear(self) -> Column:
-        terms = [F.lit(float(b)) * F.col(c) for c, b in self.coefficients.items()]
+        terms = [F.lit(float(b)) * self.input(c, F.col(c)) for c, b in self.coefficients.items()]
         return total([F.lit(float(self.intercept)), *terms])
 
     def column(self) -> Column:
@@ -40,21 +61,59 @@ class LinearScorer:
             return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.linear()))
         return self.linear()
 
+    def unscaled(self) -> LinearScorer:
+        """The same score of complete rows in raw units."""
+        if self.scaler is None:
+            return self
+        slopes = {c: b / self.scaler[c][1] for c, b in self.coefficients.items()}
+        shift = sum(b * self.scaler[c][0] for c, b in slopes.items())
+        return LinearScorer(self.intercept - shift, slopes, self.link)
+
+
+@dataclass(frozen=True)
+class FittedModel:
+    """A fitted pipeline over standardised features, and what standardises them."""
+
+    pipeline: PipelineModel
+    features: Sequence[str]
+    scaler: Scaler
+
+
+def fit_scaler(train: DataFrame, features: Sequence[str]) -> Scaler:
+    """Mean and scale of the training rows; one row reaches the driver."""
+    known_values = train.select(*[known(c).alias(c) for c in features])
+    return {r.feature: (r["mean"] or 0.0, r.scale or 1.0) for r in scaler_stats(known_values, features).collect()}
 
-def assemble(df: DataFrame, features: Sequence[str]) -> tuple[VectorAssembler, DataFrame]:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    return assembler, assembler.transform(sanitize(df, features))
+
+def standardised(df: DataFrame, features: Sequence[str], scaler: Scaler) -> DataFrame:
+    """``df`` with ``_x_<feature>``: scaled first, made finite afterwards.
+
+    So a missing value is the training mean; only a feature that is no column
+    at all is 0 in raw units.
+    """
+    scaled = {}
+    for c in features:
+        mean, width = scaler[c]
+        value = known(c) if c in df.columns else F.lit(0.0)
+        scaled[f"_x_{c}"] = finite((value - F.lit(float(mean))) / F.lit(float(width)))
+    return df.withColumns(scaled)
+
+
+def assemble(df: DataFrame, features: Sequence[str]) -> tuple[VectorAssembler, DataFrame, Scaler]:
+    scaler = fit_scaler(df, features)
+    assembler = VectorAssembler(inputCols=[f"_x_{c}" for c in features], outputCol="_features")
+    return assembler, assembler.transform(standardised(df, features, scaler)), scaler
 
 
 def fit_ridge(
     train: DataFrame, features: Sequence[str], target: str = K.TARGET, penalty: float = 0.1
-) -> PipelineModel:
-    assembler, data = assemble(train, features)
+) -> FittedModel:
+    assembler, data, scaler = assemble(train, features)
     ridge = LinearRegression(
         featuresCol="_features", labelCol=target, predictionCol="lgd",
         elasticNetParam=0.0, regParam=penalty, solver="normal",
     )
-    return PipelineModel([assembler, ridge.fit(data)])
+    return FittedModel(PipelineModel([assembler, ridge.fit(data)]), list(features), scaler)
 
 
 def fit_boosted_trees(
@@ -65,31 +124,35 @@ def fit_boosted_trees(
     depth: int = 4,
     alpha: float | None = None,
     seed: int = K.SPLIT_SEED,
-) -> PipelineModel:
+) -> FittedModel:
     """Boosted trees; ``alpha`` turns on the tail weight."""
-    assembler, data = assemble(train, features)
+    assembler, data, scaler = assemble(train, features)
     data = data.withColumn("_w", F.lit(1.0) if alpha is None else tail_weight(target, alpha))
     trees = GBTRegressor(
         featuresCol="_features", labelCol=target, predictionCol="lgd", weightCol="_w",
         maxIter=rounds, maxDepth=depth, seed=seed,
     )
-    return PipelineModel([assembler, trees.fit(data)])
+    return FittedModel(PipelineModel([assembler, trees.fit(data)]), list(features), scaler)
 
 
-def tree_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def tree_importance(spark: SparkSession, model: FittedModel) -> DataFrame:
     """``feature, importance`` (share of gain) of fitted trees."""
-    assembler, trees = model.stages
-    names = assembler.getInputCols()
-    weights = trees.featureImportances.toArray()
-    rows = [(n, float(w)) for n, w in zip(names, weights)]
+    weights = model.pipeline.stages[1].featureImportances.toArray()
+    rows = [(n, float(w)) for n, w in zip(model.features, weights)]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def _logit(weight: str, target: str) -> GeneralizedLinearRegression:
-    return GeneralizedLinearRegression(
+def _fit_logit(
+    assembler: VectorAssembler, data: DataFrame, weight: str, target: str, iterations: int, tolerance: float
+) -> PipelineModel:
+    logit = GeneralizedLinearRegression(
         family="binomial", link="logit", featuresCol="_features", labelCol=target,
-        predictionCol="lgd", weightCol=weight, maxIter=25, tol=1e-8,
+        predictionCol="lgd", weightCol=weight, maxIter=iterations, tol=tolerance,
     )
+    fitted = logit.fit(data)
+    if fitted.summary.numIterations >= iterations:
+        log.warning("the fit stopped at its limit of %d iterations", iterations)
+    return PipelineModel([assembler, fitted])
 
 
 def fit_bounded_tail_weighted(
@@ -97,64 +160,83 @@ def fit_bounded_tail_weighted(
     features: Sequence[str],
     target: str = K.TARGET,
     alpha: float = K.TAIL_ALPHA,
-) -> PipelineModel:
-    """Primary model: prediction inside (0, 1), both tails weighted up."""
-    assembler, data = assemble(train, features)
+    iterations: int = 100,
+    tolerance: float = 1e-8,
+) -> FittedModel:
+    """Primary model: prediction inside (0, 1), both tails weighted up.
+
+    A fit that reaches ``iterations`` before ``tolerance`` is reported.
+    """
+    assembler, data, scaler = assemble(train, features)
     data = data.withColumn("_w", tail_weight(target, alpha))
-    return PipelineModel([assembler, _logit("_w", target).fit(data)])
+    return FittedModel(_fit_logit(assembler, data, "_w", target, iterations, tolerance), list(features), scaler)
 
 
-def scorer_of(model: PipelineModel) -> LinearScorer:
+def scorer_of(model: FittedModel) -> LinearScorer:
     """The coefficients of a fitted linear or logit model, by feature name."""
-    assembler, fitted = model.stages
-    coefficients = dict(zip(assembler.getInputCols(), map(float, fitted.coefficients)))
+    fitted = model.pipeline.stages[1]
+    coefficients = dict(zip(model.features, map(float, fitted.coefficients)))
     link = "logit" if hasattr(fitted, "getLink") else "identity"
-    return LinearScorer(float(fitted.intercept), coefficients, link)
+    return LinearScorer(float(fitted.intercept), coefficients, link, model.scaler)
 
 
-def coefficient_table(spark: SparkSession, scorer: LinearScorer) -> DataFrame:
-    rows = [("intercept", scorer.intercept), *scorer.coefficients.items()]
-    return spark.createDataFrame(rows, "feature string, coefficient double")
+def scorer_table(spark: SparkSession, scorer: LinearScorer) -> DataFrame:
+    """A scorer as a table, its scaler included; to be staged beside the feature table."""
+    scaler = scorer.scaler or {}
+    rows = [(None, scorer.intercept, None, None, scorer.link)]
+    rows += [(c, b, *scaler.get(c, (None, None)), scorer.link) for c, b in scorer.coefficients.items()]
+    return spark.createDataFrame(rows, "feature string, coefficient double, mean double, scale double, link string")
 
 
-def score(df: DataFrame, model: PipelineModel | LinearScorer, name: str = "lgd") -> DataFrame:
+def scorer_from(table: DataFrame) -> LinearScorer:
+    """The scorer of a table written by :func:`scorer_table` (one row per feature)."""
+    rows = table.collect()
+    features = [r for r in rows if r.feature is not None]
+    scaler = {r.feature: (r["mean"], r.scale) for r in features if r.scale is not None}
+    intercept = next(r for r in rows if r.feature is None)
+    return LinearScorer(intercept.coefficient, {r.feature: r.coefficient for r in features}, intercept.link, scaler or None)
+
+
+def score(df: DataFrame, model: FittedModel | LinearScorer, name: str = "lgd") -> DataFrame:
     """Portfolio of any size to predictions in [0, 1]; features go by name."""
     if isinstance(model, LinearScorer):
-        clean = sanitize(df.select("*", *_raw(df, model.features)), _clean(model.features))
-        scored = clean.withColumn(name, clip(_renamed(model).column(), 0.0, 1.0))
-        return scored.drop(*_clean(model.features))
-    features = model.stages[0].getInputCols()
-    kept = df.withColumn("_row", F.struct(*df.columns)).select("_row", *[c for c in features if c in df.columns])
-    scored = model.transform(sanitize(kept, features))
+        inputs, scored = _inputs(df, [model])
+        return inputs.withColumn(name, clip(scored[0].column(), 0.0, 1.0)).drop(*set(inputs.columns) - set(df.columns))
+    kept = df.withColumn("_row", F.struct(*df.columns)).select(
+        "_row", *[c for c in model.features if c in df.columns])
+    scored = model.pipeline.transform(standardised(kept, model.features, model.scaler))
     return scored.select("_row.*", clip("lgd", 0.0, 1.0).alias(name))
 
 
-def _clean(features: Sequence[str]) -> list[str]:
-    return [f"_x_{c}" for c in features]
-
-
-def _raw(df: DataFrame, features: Sequence[str]) -> list[Column]:
-    return [
-        (F.col(c) if c in df.columns else F.lit(0.0)).alias(x) for c, x in zip(features, _clean(features))
-    ]
-
-
-def _renamed(scorer: LinearScorer) -> LinearScorer:
-    renamed = {f"_x_{c}": b for c, b in scorer.coefficients.items()}
-    return LinearScorer(scorer.intercept, renamed, scorer.link)
-
-
-def poisson_weight(key: str | Column, member: int, seed: int = K.SPLIT_SEED, top: int = 10) -> Column:
+def _inputs(df: DataFrame, scorers: Sequence[LinearScorer]) -> tuple[DataFrame, list[LinearScorer]]:
+    """Clean inputs as columns beside ``df``, once per scaler, and the scorers over them."""
+    columns: dict[str, Column] = {}
+    scalers: list[Scaler | None] = []
+    renamed = []
+    for s in scorers:
+        if s.scaler not in scalers:
+            scalers.append(s.scaler)
+        number = scalers.index(s.scaler)
+        names = {c: f"_x{number}_{c}" for c in s.features}
+        for c, x in names.items():
+            value = F.col(c).cast("double") if c in df.columns else F.lit(0.0)
+            columns[x] = finite(value) if s.scaler is None else s.input(c, value)
+        renamed.append(LinearScorer(s.intercept, {names[c]: b for c, b in s.coefficients.items()}, s.link))
+    return df.withColumns(columns), renamed
+
+
+def poisson_weight(key: str | Column, member: int, seed: int = K.SPLIT_SEED) -> Column:
     """How often a row is drawn for one bootstrap member.
 
     Poisson(1) by inversion of a hash of key, seed and member: the same on
-    every run and every retry of a task.
+    every run and every retry of a task. The limits go on until what is left
+    is finer than the hash.
     """
     text = F.concat(F.col(key) if isinstance(key, str) else key, F.lit(f":{seed}:{member}"))
     point = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     below, limits = 0.0, []
-    for k in range(top):
-        below += math.exp(-1.0) / math.factorial(k)
+    while 1.0 - below > 16.0**-12:
+        below += math.exp(-1.0) / math.factorial(len(limits))
         limits.append(below)
     return total([F.when(point >= limit, F.lit(1.0)).otherwise(F.lit(0.0)) for limit in limits])
 
@@ -167,19 +249,25 @@ def fit_members(
     members: int = 20,
     alpha: float = K.TAIL_ALPHA,
     seed: int = K.SPLIT_SEED,
+    iterations: int = 100,
+    tolerance: float = 1e-8,
+    at_once: int = 4,
 ) -> list[LinearScorer]:
-    """Bootstrap refits of the primary model, one distributed fit each."""
-    assembler, data = assemble(train, features)
-    data = data.select(F.col(key).cast("string").alias("_key"), target, "_features").persist()
-    try:
-        fitted = []
-        for k in range(members):
-            weight = poisson_weight("_key", k, seed) * tail_weight(target, alpha)
-            drawn = data.withColumn("_w", weight).where("_w > 0")
-            fitted.append(scorer_of(PipelineModel([assembler, _logit("_w", target).fit(drawn)])))
-        return fitted
-    finally:
-        data.unpersist()
+    """Bootstrap refits of the primary model, one distributed fit each, ``at_once`` of them together.
+
+    The assembled training rows are stored once and read by every fit.
+    """
+    assembler, data, scaler = assemble(train, features)
+    data = pin(data.select(F.col(key).cast("string").alias("_key"), target, "_features"))
+
+    def fit(member: int) -> LinearScorer:
+        weight = poisson_weight("_key", member, seed) * tail_weight(target, alpha)
+        drawn = data.withColumn("_w", weight).where("_w > 0")
+        fitted = _fit_logit(assembler, drawn, "_w", target, iterations, tolerance)
+        return scorer_of(FittedModel(fitted, list(features), scaler))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(fit, range(members)))
 
 
 def predict_with_interval(
@@ -190,9 +278,8 @@ def predict_with_interval(
     The member predictions of a loan are one sorted array, so the interval
     needs no shuffle.
     """
-    features = list(dict.fromkeys(f for m in members for f in m.features))
-    clean = sanitize(df.select("*", *_raw(df, features)), _clean(features))
-    draws = F.array_sort(F.array(*[clip(_renamed(m).column(), 0.0, 1.0) for m in members]))
+    clean, scorers = _inputs(df, members)
+    draws = F.array_sort(F.array(*[clip(m.column(), 0.0, 1.0) for m in scorers]))
     count = len(members)
 
     def at(probability: float) -> Column:
@@ -207,13 +294,13 @@ def predict_with_interval(
         .withColumn("lgd", mean)
         .withColumn("lower", at(low))
         .withColumn("upper", at(high))
-        .drop("_draws", *_clean(features))
+        .drop("_draws", *[c for c in clean.columns if c not in df.columns])
     )
 
 
 def macro_scenarios(
     loans: DataFrame,
-    model: PipelineModel | LinearScorer,
+    model: FittedModel | LinearScorer,
     scenarios: Sequence[tuple[str, int, float, float]] = tuple(K.SCENARIOS),
     recompute: bool = False,
 ) -> DataFrame:
@@ -255,7 +342,7 @@ def linear_attributions(
         F.struct(
             F.lit(c).alias("feature"),
             F.col(c).cast("double").alias("value"),
-            (F.lit(float(b)) * (F.col(c) - mean(c))).alias("attribution"),
+            (F.lit(float(b)) * (scorer.input(c, F.col(c)) - scorer.input(c, mean(c)))).alias("attribution"),
         )
         for c, b in scorer.coefficients.items()
     ])
@@ -269,14 +356,14 @@ def feature_means(train: DataFrame, features: Sequence[str]) -> Column:
     return row.select(F.create_map(*pairs).alias("m")).scalar()
 
 
-def global_importance(attributions: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` features with the largest mean absolute attribution."""
-    return (
+def global_importance(attributions: DataFrame, k: int | None = 5) -> DataFrame:
+    """The ``k`` features with the largest mean absolute attribution; all of them for ``None``."""
+    ranked = (
         attributions.groupBy("feature")
         .agg(F.avg(F.abs("attribution")).alias("mean_abs"))
         .orderBy(F.desc("mean_abs"), "feature")
-        .limit(k)
     )
+    return ranked if k is None else ranked.limit(k)
 
 
 def explain_extremes(
@@ -286,5 +373,4 @@ def explain_extremes(
     ranked = predictions.select(key, "lgd")
     high = ranked.orderBy(F.desc("lgd"), key).limit(n).withColumn("extreme", F.lit("high"))
     low = ranked.orderBy(F.asc("lgd"), key).limit(n).withColumn("extreme", F.lit("low"))
-    # 2 n rows by construction.
-    return attributions.join(F.broadcast(high.unionByName(low)), key)
+    return attributions.join(high.unionByName(low), key)

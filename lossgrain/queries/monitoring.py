@@ -104,7 +104,7 @@ MON6 = ATTRIBUTED + ",\n" + ranks_sql("old", "f.vintage_year <= 1997 AND feature
 def mon6(spark, d):
     loans = pin(features(spark, d))
     importance = lambda df: rounded(
-        md.global_importance(attributions(df), 99), ["mean_abs"]).withColumnRenamed("mean_abs", "importance")
+        md.global_importance(attributions(df), None), ["mean_abs"]).withColumnRenamed("mean_abs", "importance")
     old = importance(loans.where(F.col("vintage_year") <= 1997)).where(F.col("feature") != "orig_term")
     return mo.rank_stability(old, importance(loans.where(F.col("vintage_year") > 1997)))
 
