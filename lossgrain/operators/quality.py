@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
+from lossgrain.functions.columns import number
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,14 +57,14 @@ def request_rules(columns: Sequence[str]) -> dict[str, Column]:
 
     rules: dict[str, Column] = {}
     for name, (low, high) in K.REQUEST_RANGES.items():
-        value = field(name).cast("double")
-        bad = value.isNull() | F.isnan(value) | (value < low) | (value > high)
+        value = number(field(name))
+        bad = value.isNull() | (value < low) | (value > high)
         if name in K.REQUEST_WHOLE:
             bad = bad | (value != F.floor(value))
         rules[name] = bad
     for name in K.REQUEST_POSITIVE:
-        value = field(name).cast("double")
-        rules[name] = value.isNull() | F.isnan(value) | (value <= 0)
+        value = number(field(name))
+        rules[name] = value.isNull() | (value <= 0)
     for name, allowed in K.REQUEST_CHOICES.items():
         value = field(name).cast("string")
         rules[name] = value.isNull() | ~value.isin(allowed)
@@ -102,17 +103,25 @@ def batch_verdicts(
     )
 
 
-def validate_batches(
+def split_batches(
     df: DataFrame, batch_key: str, rules: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """Rows of the accepted batches.
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the accepted batches, and all others; rows without a batch key are one batch.
 
     An accepted batch has at most 1000 rows, so no key of the right side is
     hot; oversized batches have no partner and adaptive skew handling splits
     their rows on the left side.
     """
-    accepted = batch_verdicts(df, batch_key, rules).where("accepted").select(batch_key)
-    return df.join(accepted, batch_key, "left_semi")
+    accepted = batch_verdicts(df, batch_key, rules).where("accepted").select(F.col(batch_key).alias("_batch"))
+    same = df[batch_key].eqNullSafe(F.col("_batch"))
+    return df.join(accepted, same, "left_semi"), df.join(accepted, same, "left_anti")
+
+
+def validate_batches(
+    df: DataFrame, batch_key: str, rules: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Rows of the accepted batches."""
+    return split_batches(df, batch_key, rules)[0]
 
 
 def null_rates(df: DataFrame, flag_above: float = 0.05) -> DataFrame:
@@ -128,10 +137,14 @@ def null_rates(df: DataFrame, flag_above: float = 0.05) -> DataFrame:
     )
 
 
-def dropped_rows(df: DataFrame, upb: str = "zero_balance_removal_upb") -> DataFrame:
-    """One row: how many rows the loss target drops for their balance."""
+def dropped_rows(
+    df: DataFrame, upb: str = "zero_balance_removal_upb", target: Column | None = None
+) -> DataFrame:
+    """One row: how many rows go for their balance, and for a missing ``target`` after that."""
     keep = F.coalesce(F.col(upb) > 0, F.lit(False))
+    extra = [] if target is None else [F.count_if(keep & target.isNull()).alias("dropped_by_target")]
     return df.agg(
         F.count("*").alias("n_rows"),
         F.count_if(~keep).alias("dropped_by_upb"),
+        *extra,
     )

@@ -62,7 +62,8 @@ def split_by_vintage(
     val: float = K.VALIDATION_SHARE,
     seed: int = K.SPLIT_SEED,
 ) -> DataFrame:
-    """Vintages after ``cutoff`` are test; the others split train/validation."""
-    earlier = split_stratified(df.where(F.col(by) <= cutoff), by, key, 0.0, val, seed)
-    later = df.where(F.col(by) > cutoff).withColumn("split", F.lit("test"))
+    """Vintages after ``cutoff`` are test; an unknown vintage is a stratum of the others; the others split train/validation."""
+    late = F.coalesce(F.col(by) > cutoff, F.lit(False))
+    earlier = split_stratified(df.where(~late), by, key, 0.0, val, seed)
+    later = df.where(late).withColumn("split", F.lit("test"))
     return earlier.unionByName(later)

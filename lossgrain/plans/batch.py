@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lossgrain import constants as K
 from lossgrain.operators import features as ft
@@ -37,12 +37,17 @@ def ingest_origination(
     """One row per loan of the window, first appearance wins."""
     rows, seen = _read(spark, directory, K.ORIGINATION_COLUMNS, tx.ORIGINATION_GLOB)
     rows = qa.require_columns(rows, K.REQUIRED_ORIGINATION)
-    loans = rv.filter_vintage(tr.with_vintage_year(rows), low, high)
-    first = rv.dedupe_first(loans, "loan_seq_num", tx.POSITION).drop(*tx.POSITION)
-    st.stage(first, out, "vintage_year")
-    staged = st.load_stage(spark, out, first.schema)
-    _report(seen, staged, directory)
-    return qa.check_null_keys(staged, "loan_seq_num")
+    window = Observation()
+    loans = rv.filter_vintage(tr.with_vintage_year(rows), low, high).observe(window, F.count("*").alias("rows"))
+    first = pin(rv.dedupe_first(loans, "loan_seq_num", tx.POSITION).drop(*tx.POSITION))
+    _report(seen, first, directory)
+    unique = first.count()
+    if unique:
+        log.info("%d rows in the window, %d loans, %d repeated rows removed", window.get["rows"], unique,
+                 window.get["rows"] - unique)
+    # A delivery that fails the check leaves the published table as it is.
+    st.stage(qa.check_null_keys(first, "loan_seq_num"), out, "vintage_year")
+    return st.load_stage(spark, out, first.schema)
 
 
 def ingest_performance(spark: SparkSession, directory: str, out: str) -> DataFrame:
@@ -58,8 +63,9 @@ def ingest_performance(spark: SparkSession, directory: str, out: str) -> DataFra
     _report(seen, history, directory)
     order = rv.period_order("monthly_reporting_period", *tx.POSITION)
     last = rv.last_per_loan(rv.filter_defaults(history), order=order, columns=K.PERFORMANCE_COLUMNS)
-    st.stage(last.join(rv.months_delinquent(history), "loan_seq_num", "left"), out)
-    return qa.check_null_keys(st.load_stage(spark, out), "loan_seq_num")
+    ready = pin(last.join(rv.months_delinquent(history), "loan_seq_num", "left"))
+    st.stage(qa.check_null_keys(ready, "loan_seq_num"), out)
+    return st.load_stage(spark, out)
 
 
 def preprocess(origination: DataFrame, performance: DataFrame, out: str) -> DataFrame:
@@ -67,7 +73,12 @@ def preprocess(origination: DataFrame, performance: DataFrame, out: str) -> Data
     orig = tr.fill_median(tr.fill_zero(tr.cast_numeric(origination, K.ORIGINATION_NUMERIC)))
     perf = tr.fill_const(tr.fill_zero(tr.cast_numeric(performance, K.PERFORMANCE_NUMERIC)))
     st.stage(rv.merge_and_clean(rv.with_lgd(perf), orig), out)
-    return st.load_stage(origination.sparkSession, out)
+    cleaned = st.load_stage(origination.sparkSession, out)
+    lost = qa.dropped_rows(perf).first()
+    log.info("%d resolved loans, %d without balance, %d cleaned", lost.n_rows, lost.dropped_by_upb, cleaned.count())
+    for filled in tr.imputation_audit(origination).collect():
+        log.info("%s: %d values filled with %s", filled["column"], filled.n_filled, filled.fill_value)
+    return cleaned
 
 
 def engineer(

@@ -271,9 +271,10 @@ def q8(spark, d):
 
 
 @query("q8_dropped_rows", sql("""SELECT count(*) AS n_rows,
-  count(*) FILTER (WHERE NOT coalesce(zero_balance_removal_upb > 0, false)) AS dropped_by_upb FROM resolved""", "resolved"))
+  count(*) FILTER (WHERE NOT coalesce(zero_balance_removal_upb > 0, false)) AS dropped_by_upb,
+  count(*) FILTER (WHERE zero_balance_removal_upb > 0 AND actual_loss IS NULL) AS dropped_by_target FROM resolved""", "resolved"))
 def q8_dropped(spark, d):
-    return qa.dropped_rows(resolved(spark, d))
+    return qa.dropped_rows(resolved(spark, d), target=F.col("actual_loss"))
 
 
 # --- transforms -----------------------------------------------------------

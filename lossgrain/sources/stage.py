@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def stage(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None) -> None:
-    """Replace the table at ``path``."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        writer = writer.partitionBy(*columns)
-    writer.parquet(path)
+    """Replace the table at ``path``.
+
+    With ``partition_by`` rows are rebalanced by those columns first: a task
+    writes few of the partitions, and a large partition is split by its size.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def load_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -84,8 +84,9 @@ def read_lines(spark: SparkSession, directory: str, columns: Sequence[str], glob
 
 
 def too_long(rows: DataFrame, n_columns: int) -> Column:
-    """Whether a row has more fields than the layout."""
-    separators = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit("|"), F.lit("")))
+    """Whether a row has more fields than the layout; separators inside a quoted field do not count."""
+    plain = F.regexp_replace(CORRUPT, r'(^|\|)"(?:[^"]|"")*"', "$1")
+    separators = F.length(plain) - F.length(F.replace(plain, F.lit("|"), F.lit("")))
     # Spark refuses to scan for raw bad lines alone, so a data column takes part.
     scanned = F.coalesce(F.length(F.col(rows.columns[0])), F.lit(0)) >= 0
     return F.coalesce(separators >= n_columns, F.lit(False)) & scanned

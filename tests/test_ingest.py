@@ -227,3 +227,77 @@ def test_log_first_write_wins(spark, tmp_path):
     pl.append_predictions(spark, path, make([("c", 3, 0.3)]))
     got = {r.prediction_id: r.predicted_lgd for r in pl.read_predictions(spark, path).collect()}
     assert got == {"a": 0.1, "b": 0.2, "c": 0.3} and pl.read_predictions(spark, path).count() == 3
+
+
+def test_model_run_from_feature_table_to_verdict(spark, tmp_path):
+    import random
+
+    from lossgrain import constants as K
+    from lossgrain.operators import model as md
+    from lossgrain.plans import modelling
+
+    r = random.Random(3)
+    rows = []
+    for i in range(900):
+        x = {c: float(r.randint(0, 4)) for c in K.FEATURES}
+        x.update(hpi_change=r.uniform(-0.3, 0.2), ltv_at_default=r.uniform(40, 160), unemployment_rate_at_default=r.uniform(3, 11))
+        loss = 0.2 + 0.004 * (x["ltv_at_default"] - 80) - 0.4 * x["hpi_change"] + r.gauss(0, 0.03)
+        rows.append((f"k{i}", 2010 + i % 4, min(max(loss, 0.0), 1.0), *x.values()))
+    schema = f"loan_seq_num string, vintage_year int, {K.TARGET} double, " + ", ".join(f"`{c}` double" for c in K.FEATURES)
+    out = f"{tmp_path}/scorer"
+    run = modelling.run(spark.createDataFrame(rows, schema), out=out)
+    assert {(x.model, x.split) for x in run.metrics.collect()} == {
+        (m, s) for m in ("segment_average", *modelling.MODELS) for s in ("train", "validation", "test")}
+    gains = {x.model: x.mae_improvement for x in run.comparison.collect()}
+    assert gains["segment_average"] is None and gains["bounded_tail_weighted"] > 30
+    assert run.calibration.count() == 10 and run.scenarios.count() == len(K.SCENARIOS)
+    assert {x.criterion: x.passed for x in run.criteria.collect()}["mae_improvement"]
+    again = md.scorer_from(spark.read.parquet(out))
+    assert again.coefficients == run.scorer.coefficients and again.scaler == run.scorer.scaler
+
+
+def test_failed_check_leaves_the_published_table(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    from lossgrain import constants as K
+    from lossgrain.plans import batch
+
+    def deliver(name, key):
+        fields = dict.fromkeys(K.ORIGINATION_COLUMNS, "")
+        fields.update(loan_seq_num=key, first_payment_date="201001", orig_upb="1000", credit_score="700")
+        (tmp_path / "raw" / f"historical_data_{name}.txt").write_text("|".join(fields.values()) + "\n")
+
+    (tmp_path / "raw").mkdir()
+    deliver("2010Q1", "A1")
+    out = f"{tmp_path}/orig"
+    assert batch.ingest_origination(spark, f"{tmp_path}/raw", out, 2009, 2011).count() == 1
+    deliver("2010Q2", "")
+    with pytest.raises((ValueError, PySparkException)):
+        batch.ingest_origination(spark, f"{tmp_path}/raw", out, 2009, 2011)
+    assert [r.loan_seq_num for r in spark.read.parquet(out).collect()] == ["A1"]
+
+
+def test_quoted_separators_are_no_fields(spark, tmp_path):
+    from lossgrain.sources import text as tx
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_text('a|"x|y|z"\na|b|c|d\n"p|q"|r|"s""|t"\n1|2|3\n')
+    kept, rejects = tx.split_rejects(tx.read_lines(spark, f"{tmp_path}/t", ["f", "g", "h"], "*.txt"), 3)
+    assert [r.line for r in rejects.collect()] == ["a|b|c|d"]
+    assert sorted((r.f, r.g) for r in kept.collect()) == [("1", "2"), ("a", "x|y|z"), ("p|q", "r")]
+
+
+def test_odd_requests_and_batches_are_rejected_not_lost(spark):
+    from lossgrain.operators import quality as qa
+    from lossgrain.operators import split as sp
+
+    rows = spark.createDataFrame([("1", "abc", "b"), ("2", "85", None)], "loan_seq_num string, orig_ltv string, batch string")
+    valid, rejected = qa.validate_rows(rows)
+    broken = {r.loan_seq_num: "orig_ltv" in r.violations for r in rejected.collect()}
+    assert valid.count() == 0 and broken == {"1": True, "2": False}
+    rules = {"low": F.col("orig_ltv") == "abc"}
+    accepted, others = qa.split_batches(rows, "batch", rules)
+    assert [r.loan_seq_num for r in accepted.collect()] == ["2"] and [r.loan_seq_num for r in others.collect()] == ["1"]
+    loans = spark.createDataFrame([(str(i), 2010 + i % 3 if i % 5 else None) for i in range(60)], "loan_seq_num string, vintage_year int")
+    split = sp.split_by_vintage(loans, 2011)
+    assert split.count() == 60 and split.where("vintage_year is null and split = 'test'").count() == 0
