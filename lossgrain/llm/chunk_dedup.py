@@ -99,7 +99,7 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: in
         cut, CHUNK_SCHEMA)
 
 
-def repeats(docs: DataFrame, least_chars: int = 64, **options) -> DataFrame:
+def repeats(docs: DataFrame, least_chars: int = 120, **options) -> DataFrame:
     """Runs of repeated chunks: ``doc_id, start, stop, n_chunks, first_doc_id, stays``.
 
     ``stays`` marks the runs that are the first occurrences; the other runs
