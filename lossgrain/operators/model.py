@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lossgrain import constants as K
 from lossgrain.functions.columns import clip, finite, known, tail_weight, total
-from lossgrain.operators.features import sanitize, scaler_stats
+from lossgrain.operators.features import scaler_stats
 from lossgrain.operators.macro import cross_scenarios
 from lossgrain.session import pin
 
