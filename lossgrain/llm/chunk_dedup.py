@@ -103,7 +103,9 @@ def repeats(docs: DataFrame, least_chars: int = 120, **options) -> DataFrame:
     """Runs of repeated chunks: ``doc_id, start, stop, n_chunks, first_doc_id, stays``.
 
     ``stays`` marks the runs that are the first occurrences; the other runs
-    are what deduplication removes. Runs under ``least_chars`` are left alone.
+    are what deduplication removes. Runs under ``least_chars`` are left alone:
+    a line that many texts share is no passage, while a repeated passage of
+    over 50 words keeps more than that between its first and last cut.
     """
     parts = pin(chunks(docs, **options))
     digest = ["digest_a", "digest_b"]
