@@ -507,15 +507,24 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
 
 
 def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each component: the one with the smallest id; all rows without shingles stay."""
-    key, = fresh(docs, "row_key")
-    keyed = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text)))
-    found = pin(groups(docs, doc_id, text, **options))
-    kept = pin(found.where("k = keeper").groupBy("k").agg(
-        F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles")))
-    repeated = kept.where("n > 1 and n_shingles > 0").select(F.col("k").alias(key))
-    single = keyed.join(kept.select(F.col("k").alias(key)), key, "left_semi")
+    """One row of each component: the one with the smallest id; all rows without shingles stay.
+
+    Only rows that share one of 2**20 hash slots with a removed row are
+    shuffled; the table of these slots is the proven bound of what is
+    broadcast.
+    """
+    key, slot = fresh(docs, "row_key", "row_slot")
+    hashed = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text))), F.lit(1 << 20))
+    keyed = docs.withColumns({key: F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text)), slot: hashed})
+    found = groups(docs, doc_id, text, **options)
+    by_key = pin(found.groupBy(F.col("k").alias(key)).agg(
+        F.count_if(F.col("k") == F.col("keeper")).alias("n"), F.max("n_shingles").alias("n_shingles")))
+    removed = by_key.where("n = 0").select(key)
+    slots = F.broadcast(removed.select(F.pmod(F.xxhash64(key), F.lit(1 << 20)).alias(slot)).distinct())
+    kept = keyed.join(slots, slot, "left_anti").unionByName(
+        keyed.join(slots, slot, "left_semi").join(removed, key, "left_anti").select(keyed.columns))
+    repeated = by_key.where("n > 1 and n_shingles > 0").select(key)
     if repeated.isEmpty():
-        return single.select(*docs.columns)
-    again = single.join(repeated, key, "left_semi").dropDuplicates([key])
-    return single.join(repeated, key, "left_anti").unionByName(again).select(*docs.columns)
+        return kept.select(*docs.columns)
+    again = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").unionByName(again).select(*docs.columns)
