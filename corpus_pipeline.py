@@ -15,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrain.llm import decontaminate, perplexity_rules, pii_crf, sequence_packing, trie_join
+from lossgrain.llm.common import table_if_there
 from lossgrain.session import pin
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return perplexity_rules.keep(docs)
+    return perplexity_rules.keep(docs, labels=table_if_there(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,12 @@ def tables(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_if_there(spark, sf_dir: str, name: str) -> DataFrame | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return tables(spark, sf_dir, name) if there else None
+
+
 def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
     """Column names that ``df`` does not have, whatever its own columns are called."""
     taken = {c.lower() for c in df.columns}

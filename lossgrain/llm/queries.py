@@ -10,7 +10,7 @@ from lossgrain.llm import (
     chat_format, chunk_dedup, decontaminate, perplexity_rules, pii_crf, secret_crf, sequence_packing,
     shard_balance, trie_join, warc_archive,
 )
-from lossgrain.llm.common import pin, ranked, tables
+from lossgrain.llm.common import pin, ranked, table_if_there, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,7 +116,8 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_perplexity_rules")
 def op1_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity_rules.judge(tables(spark, sf_dir, "documents")).select(
+    return perplexity_rules.judge(
+        tables(spark, sf_dir, "documents"), labels=table_if_there(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", "lang", "log_perplexity")
 

@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lossgrain.llm import perplexity_rules as rules
+from lossgrain.llm.queries import op1_perplexity_rules
 from tests_llm_words import words
 
 
@@ -133,3 +135,25 @@ def test_slots_bound_the_model(spark):
     model = rules.fit(docs, slot_bits=4)
     assert all(len(keys) <= 16 for keys, _ in model["grams"])
     assert all(np.all(keys[1:] > keys[:-1]) for keys, _ in model["grams"])
+
+
+def test_labels_calibrate_the_bands(spark, tmp_path):
+    r = random.Random(14)
+    vocabulary = [words(r, 1) for _ in range(400)]
+    draw = lambda: r.choices(vocabulary, k=120)
+    rows, labels = [], []
+    for i in range(300):
+        kind = ("clean", "clean", "clean", "bars", "glued")[i % 5]
+        text = {"clean": " ".join, "bars": " | ".join,
+                "glued": lambda w: " ".join(x + r.choice(("***", "$$$", "&&&")) for x in w)}[kind](draw())
+        rows.append((i, text, "en", kind))
+        if i < 200:
+            labels.append((i, int(kind == "clean")))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean = {i for i, _, _, kind in rows if kind == "clean"}
+    found = op1_perplexity_rules(spark, str(tmp_path)).where("kept").collect()
+    assert {x.doc_id for x in found} == clean
+    stage = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert stage.columns == docs.columns and {x.doc_id for x in stage.collect()} == clean
