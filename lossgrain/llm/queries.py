@@ -108,7 +108,7 @@ def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_spaced_seeds")
 def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.overlaps(
-        tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
+        tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"), short_items=True)
     return found.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("n_places"), F.min("start").cast("long").alias("first_token"),
         F.max("matched").cast("long").alias("matched"), F.max("compared").cast("long").alias("compared"))
