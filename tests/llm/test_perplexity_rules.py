@@ -157,3 +157,15 @@ def test_labels_calibrate_the_bands(spark, tmp_path):
     assert {x.doc_id for x in found} == clean
     stage = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
     assert stage.columns == docs.columns and {x.doc_id for x in stage.collect()} == clean
+
+
+def test_small_languages_are_not_judged_by_others(spark):
+    r = random.Random(16)
+    vocabulary = [words(r, 1) for _ in range(300)]
+    rows = [(i, " ".join(r.choices(vocabulary, k=120)), "en") for i in range(150)]
+    for first, count, lang in ((1000, 50, "zh"), (2000, 3, None)):
+        rows += [(first + i, " ".join("".join(chr(r.randint(0x4E00, 0x5E00)) for _ in range(4)) for _ in range(120)), lang)
+                 for i in range(count)]
+    rows.append((3000, " ".join("a" * k for k in range(1, 200)), "zh"))
+    found = rules.judge(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    assert [x.doc_id for x in found.where("not kept").collect()] == [3000]
