@@ -169,3 +169,22 @@ def test_small_languages_are_not_judged_by_others(spark):
     rows.append((3000, " ".join("a" * k for k in range(1, 200)), "zh"))
     found = rules.judge(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
     assert [x.doc_id for x in found.where("not kept").collect()] == [3000]
+
+
+def test_remembered_words_are_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the word{i}", "en") for i in range(1200)], "doc_id int, text string, lang string")
+    model, asked = rules.fit(docs), []
+    plain = rules.word_scores
+
+    def spy(fresh_words, *rest):
+        asked.extend(fresh_words)
+        return plain(fresh_words, *rest)
+
+    def here(rows, scored, schema):
+        list(scored(rows.toArrow().combine_chunks().to_batches()))
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(rules, "word_scores", spy)
+    monkeypatch.setattr(type(docs), "mapInArrow", here)
+    rules.score(docs, model, remembered=100)
+    assert asked.count(b"the") == 3 and len(asked) == 1203
