@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lossgrain.llm import (
-    chat_format, chunk_dedup, decontaminate, perplexity_rules, pii_crf, secret_crf, sequence_packing,
-    shard_balance, trie_join, warc_archive,
+    chat_format, chunk_dedup, conversation_trie, decontaminate, line_dedup, merkle_manifest, perplexity_rules,
+    pii_crf, secret_crf, sequence_packing, shard_balance, trie_join, warc_archive,
 )
 from lossgrain.llm.common import pin, ranked, table_if_there, tables
 
@@ -145,3 +145,110 @@ def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     return _span_digests(secret_crf.detect(docs, secret_crf.fit(docs)), secret_crf.KINDS)
+
+
+#: CRC-32 of the decimal text ``{x}`` beside ``crc``, which is the usual table, by its rule.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc_table)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length({x})),
+    lambda i: ord(substr({x}, i::INT + 1, 1))::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+@query("op11_conversation_trie", f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id AS c, turn, sha256(strlen(r) || ':' || r || x) AS d, length(x) AS chars FROM (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+n AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, d) - 1 AS k FROM t),
+convs AS (SELECT c, {_CRC.format(x='CAST(c AS VARCHAR)')} % 6 AS h, c - ((c % 100) + 100) % 100 AS host, n_own
+  FROM (SELECT c, count(*) AS n_own FROM n GROUP BY c), crc),
+w AS (SELECT a.*, least(a.h, coalesce(b.n_own, 0)) AS taken FROM convs a LEFT JOIN convs b ON a.host = b.c),
+rebuilt AS (SELECT w.c, k AS pos, d, chars FROM w JOIN n ON n.c = host WHERE k < h
+  UNION ALL SELECT w.c, k - h + taken, d, chars FROM w JOIN n ON n.c = w.c WHERE k >= h),
+p AS (SELECT c, pos + 1 AS depth, chars, string_agg(d, '') OVER (PARTITION BY c ORDER BY pos) AS pre FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+q AS (SELECT *, depth = max(depth) OVER (PARTITION BY c) AS ends FROM p),
+nodes AS (SELECT pre, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM q GROUP BY pre, depth),
+kids AS (SELECT left(pre, 64 * (depth - 1)) AS pre, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM nodes v LEFT JOIN kids k ON v.pre = k.pre),
+above AS (SELECT left(pre, 64 * d) AS pre, n_children, (n_convs - 1) * chars AS own
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM whole)),
+sums AS (SELECT pre, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own) AS saved FROM above GROUP BY pre)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM whole v JOIN sums s ON v.pre = s.pre LEFT JOIN nodes u ON v.depth > 0 AND u.pre = left(v.pre, 64 * (v.depth - 1))
+""")
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.numbered_turns(tables(spark, sf_dir, "conversations"))
+    rebuilt = conversation_trie.with_shared_start(
+        turns, F.col("conv") - F.pmod("conv", F.lit(100)), F.crc32(F.col("conv").cast("string").cast("binary")) % 6)
+    return conversation_trie.prefix_nodes(pin(conversation_trie.paths(rebuilt)))
+
+
+def _hashed(*columns: str) -> str:
+    """SQL of a leaf: each value behind its byte count, ``-`` for null."""
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (SELECT *, CASE WHEN {_CRC.format(x='CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS m
+  FROM documents, crc),
+l AS (SELECT doc_id, lang, {_hashed('doc_id', 'source', 'lang', 'n_chars', 'text')} AS leaf,
+  {_hashed('doc_id', 'source', 'lang', 'm', 'text')} AS changed FROM docs),
+leaves AS (SELECT *, coalesce('=' || lang, '-') AS tree, row_number() OVER (
+    PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM l),
+nodes AS (SELECT tree, 0 AS lvl, i, n, leaf AS h FROM leaves
+  UNION ALL SELECT tree, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes
+  WHERE n > 1 GROUP BY tree, lvl, i // 2, n),
+subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (SELECT 0 AS lvl, i, n, h FROM subroots
+  UNION ALL SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top
+  WHERE n > 1 GROUP BY lvl, i // 2, n),
+walk AS (SELECT tree, i AS leaf_i, i, 0 AS lvl, n, '' AS siblings, changed AS h FROM leaves
+  UNION ALL SELECT w.tree, leaf_i, w.i // 2, w.lvl + 1, (w.n + 1) // 2, siblings || coalesce(o.h, ''),
+    sha256(CASE WHEN w.i % 2 = 1 THEN o.h || w.h ELSE w.h || coalesce(o.h, '') END)
+  FROM walk w LEFT JOIN nodes o ON o.tree = w.tree AND o.lvl = w.lvl AND o.i = xor(w.i, 1) WHERE w.n > 1),
+up AS (SELECT w.tree, leaf_i, s.i, 0 AS lvl, s.n, siblings, w.h FROM walk w JOIN subroots s ON w.tree = s.tree WHERE w.n = 1
+  UNION ALL SELECT w.tree, leaf_i, w.i // 2, w.lvl + 1, (w.n + 1) // 2, siblings || coalesce(o.h, ''),
+    sha256(CASE WHEN w.i % 2 = 1 THEN o.h || w.h ELSE w.h || coalesce(o.h, '') END)
+  FROM up w LEFT JOIN top o ON o.lvl = w.lvl AND o.i = xor(w.i, 1) WHERE w.n > 1)
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(siblings) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
+FROM leaves x JOIN up u ON u.tree = x.tree AND u.leaf_i = x.i AND u.n = 1 JOIN subroots s ON s.tree = x.tree
+JOIN top r ON r.n = 1
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = merkle_manifest.FIELDS
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    whole = merkle_manifest.leaf_of(*[F.col(c) for c in names])
+    changed = merkle_manifest.leaf_of(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in names])
+    manifest = merkle_manifest.of_table(
+        tables(spark, sf_dir, "documents"), carry={"given": F.when(hit, changed).otherwise(whole)})
+    proved = merkle_manifest.proofs(manifest)
+    folded, root = merkle_manifest.fold(F.col("given"), F.col("proof")), F.lit(manifest.root)
+    return proved.select(
+        F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"),
+        merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query("op13_line_dedup", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(range(len(lines))) AS i, unnest(lines) AS line FROM d),
+k AS (SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+m AS (SELECT k.*, o.key IS NOT NULL AS gone FROM k LEFT JOIN often o ON k.key = o.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated(docs, least_docs=10, least_chars=1, keep_first=False).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
