@@ -134,6 +134,20 @@ def s7(spark, d):
     return logged.select("prediction_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "predicted_lgd")
 
 
+@query("s7_compacted_log", sql("""SELECT prediction_id, ts, predicted_lgd FROM log
+  WHERE CAST(ts AS DATE) >= (SELECT min(CAST(ts AS DATE)) + INTERVAL 1 DAY FROM log)""", "log"))
+def s7_compacted(spark, d):
+    """The log by the hash of its ids in three named batches, one of them sent twice, compacted, from its second day on."""
+    entries = log(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    path, part = scratch_path(spark, "s7c"), F.pmod(F.xxhash64("prediction_id"), F.lit(3))
+    for n in (0, 1, 2, 1):
+        pl.append_predictions(spark, path, entries.where(part == n), batch=f"part {n}")
+    pl.compact_log(spark, path)
+    first = entries.agg(F.date_format(F.min("ts") + F.expr("interval 1 day"), "yyyy-MM-dd")).first()[0]
+    logged = pl.read_predictions(spark, path, days=(first, "9999"))
+    return logged.select("prediction_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "predicted_lgd")
+
+
 @query("s8_read_predictions", sql("SELECT prediction_id, features_json, predicted_lgd, model_version FROM log", "log"))
 def s8(spark, d):
     path = scratch_path(spark, "s8")

@@ -227,6 +227,7 @@ def test_log_first_write_wins(spark, tmp_path):
     pl.append_predictions(spark, path, make([("c", 3, 0.3)]))
     got = {r.prediction_id: r.predicted_lgd for r in pl.read_predictions(spark, path).collect()}
     assert got == {"a": 0.1, "b": 0.2, "c": 0.3} and pl.read_predictions(spark, path).count() == 3
+    assert pl.append_predictions(spark, path, make([("c", 3, 0.3)])) is None
 
 
 def test_model_run_from_feature_table_to_verdict(spark, tmp_path):
