@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -241,6 +242,56 @@ def poisson_weight(key: str | Column, member: int, seed: int = K.SPLIT_SEED) ->
     return total([F.when(point >= limit, F.lit(1.0)).otherwise(F.lit(0.0)) for limit in limits])
 
 
+def member_data(
+    train: DataFrame, features: Sequence[str], target: str, key: str, members: int, alpha: float, seed: int
+) -> tuple[DataFrame, Scaler]:
+    """``x`` (1 and the standardised features), ``y``, tail weight ``w``, ``draws`` of every member; stored."""
+    scaler = fit_scaler(train, features)
+    name = F.col(key).cast("string")
+    rows = standardised(train.where(F.col(target).isNotNull()), features, scaler).select(
+        F.array(F.lit(1.0), *[f"_x_{c}" for c in features]).alias("x"),
+        F.col(target).cast("double").alias("y"),
+        tail_weight(target, alpha).cast("double").alias("w"),
+        F.array(*[poisson_weight(name, m, seed).cast("tinyint") for m in range(members)]).alias("draws"))
+    return pin(rows), scaler
+
+
+def member_sums(data: DataFrame, coefficients: np.ndarray) -> np.ndarray:
+    """One pass: for every member its Gram matrix, gradient and log-likelihood at its coefficients.
+
+    A task adds up its rows in blocks and leaves one row for each number; they
+    are summed before and after the shuffle, so the driver gets
+    ``members * (p * p + p + 1)`` numbers, however many rows and tasks there are.
+    """
+    members, p = coefficients.shape
+    width = p * p + p + 1
+
+    def add_up(batches):
+        total_ = np.zeros((members, width))
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, p)
+            y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            weights = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(n, members) * w[:, None]
+            linear = x @ coefficients.T
+            mean = 1.0 / (1.0 + np.exp(-linear))
+            pairs = (x[:, :, None] * x[:, None, :]).reshape(n, p * p)
+            total_[:, :p * p] += (weights * mean * (1.0 - mean)).T @ pairs
+            total_[:, p * p:-1] += (weights * (y[:, None] - mean)).T @ x
+            total_[:, -1] += (weights * (y[:, None] * linear - np.logaddexp(0.0, linear))).sum(axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(members * width)), pa.array(total_.ravel())], ["at", "value"])
+
+    sums = data.select("x", "y", "w", "draws").mapInArrow(add_up, "at bigint, value double").groupBy("at").agg(
+        F.sum("value").alias("value"))
+    out = np.zeros(members * width)
+    for r in sums.collect():
+        out[r["at"]] = r.value
+    return out.reshape(members, width)
+
+
 def fit_members(
     train: DataFrame,
     features: Sequence[str],
@@ -250,24 +301,32 @@ def fit_members(
     alpha: float = K.TAIL_ALPHA,
     seed: int = K.SPLIT_SEED,
     iterations: int = 100,
-    tolerance: float = 1e-8,
-    at_once: int = 4,
+    tolerance: float = 1e-10,
 ) -> list[LinearScorer]:
-    """Bootstrap refits of the primary model, one distributed fit each, ``at_once`` of them together.
+    """Bootstrap refits of the primary model, all of them together.
 
-    The assembled training rows are stored once and read by every fit.
+    Newton steps, each of them one pass over the stored rows for all members:
+    passes grow with the iterations, not with the members. A step that lowers
+    a member's likelihood is halved. A feature without variance gets 0.
     """
-    assembler, data, scaler = assemble(train, features)
-    data = pin(data.select(F.col(key).cast("string").alias("_key"), target, "_features"))
-
-    def fit(member: int) -> LinearScorer:
-        weight = poisson_weight("_key", member, seed) * tail_weight(target, alpha)
-        drawn = data.withColumn("_w", weight).where("_w > 0")
-        fitted = _fit_logit(assembler, drawn, "_w", target, iterations, tolerance)
-        return scorer_of(FittedModel(fitted, list(features), scaler))
-
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(fit, range(members)))
+    data, scaler = member_data(train, features, target, key, members, alpha, seed)
+    p = len(features) + 1
+    now = np.zeros((members, p))
+    before, reached = now, np.full(members, -np.inf)
+    for _ in range(iterations):
+        sums = member_sums(data, now)
+        worse = sums[:, -1] < reached - 1e-12 * np.abs(reached)
+        gram, slope = sums[:, :p * p].reshape(members, p, p), sums[:, p * p:-1]
+        steps = np.stack([np.linalg.lstsq(g, s, rcond=1e-12)[0] for g, s in zip(gram, slope)])
+        following = np.where(worse[:, None], (before + now) / 2, now + steps)
+        before = np.where(worse[:, None], before, now)
+        reached = np.where(worse, reached, sums[:, -1])
+        moved, now = np.abs(following - now).max(), following
+        if moved <= tolerance:
+            break
+    else:
+        log.warning("the members stopped at their limit of %d iterations", iterations)
+    return [LinearScorer(float(b[0]), dict(zip(features, map(float, b[1:]))), "logit", scaler) for b in now]
 
 
 def predict_with_interval(

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import number
+from lossgrain.functions.columns import number as parsed
+from lossgrain.session import pin
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,20 +51,33 @@ def key_profile(df: DataFrame, key: str, approximate: bool = False) -> DataFrame
     )
 
 
-def request_rules(columns: Sequence[str]) -> dict[str, Column]:
-    """Field name to "is bad" for one scoring request."""
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def request_rules(columns: Sequence[str], kinds: Mapping[str, str] | None = None) -> dict[str, Column]:
+    """Field name to "is bad" for one scoring request.
+
+    ``kinds`` has the types of the columns (as in ``df.dtypes``): numbers are
+    compared as they are, only texts are parsed.
+    """
     def field(name: str) -> Column:
         return F.col(name) if name in columns else F.lit(None)
 
+    def number(value: Column, name: str) -> Column:
+        if (kinds or {}).get(name) not in NUMBER_TYPES:
+            return parsed(value)
+        plain = value.cast("double")
+        return F.when(~F.isnan(plain) & (F.abs(plain) != float("inf")), plain)
+
     rules: dict[str, Column] = {}
     for name, (low, high) in K.REQUEST_RANGES.items():
-        value = number(field(name))
+        value = number(field(name), name)
         bad = value.isNull() | (value < low) | (value > high)
         if name in K.REQUEST_WHOLE:
             bad = bad | (value != F.floor(value))
         rules[name] = bad
     for name in K.REQUEST_POSITIVE:
-        value = number(field(name))
+        value = number(field(name), name)
         rules[name] = value.isNull() | (value <= 0)
     for name, allowed in K.REQUEST_CHOICES.items():
         value = field(name).cast("string")
@@ -75,7 +89,7 @@ def request_rules(columns: Sequence[str]) -> dict[str, Column]:
 
 def with_violations(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """Add ``violations``: the names of the rules a row breaks."""
-    rules = rules or request_rules(df.columns)
+    rules = rules or request_rules(df.columns, dict(df.dtypes))
     names = F.array(*[F.when(bad, F.lit(name)) for name, bad in sorted(rules.items())])
     return df.withColumn("violations", F.filter(names, lambda name: name.isNotNull()))
 
@@ -83,8 +97,11 @@ def with_violations(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 def validate_rows(
     df: DataFrame, rules: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule, and the others with what they break."""
-    checked = with_violations(df, rules)
+    """Rows that keep every rule, and the others with what they break.
+
+    The rules are evaluated once; both results read the marked rows as stored.
+    """
+    checked = pin(with_violations(df, rules))
     valid = checked.where(F.size("violations") == 0).drop("violations")
     return valid, checked.where(F.size("violations") > 0)
 

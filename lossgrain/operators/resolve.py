@@ -36,18 +36,49 @@ def period_order(period: str = "monthly_reporting_period", *position: str) -> li
     return [F.coalesce(F.col(period), F.lit(LAST_PERIOD)), *[F.col(c) for c in position]]
 
 
+#: Types whose values an aggregate keeps in place.
+FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+
+
 def dedupe_first(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row of each key in a total order.
 
     An aggregate, not a row number: every task reduces its part of a key to
-    one row before the shuffle, however many copies the key has.
+    one row before the shuffle, however many copies the key has. Rows of
+    numbers with one number as the order take a hash aggregate.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    rest = [c for c in df.columns if c not in keys]
+    kinds = [kind for c, kind in df.dtypes if c in rest]
+    if len(order) == 1 and {*kinds, df.select(order[0]).dtypes[0][1]} <= FIXED_WIDTH:
+        # All columns meet the rows of a key in one order, so of equal ones all take the same row.
+        ranked = df.withColumn("_order", order[0]).groupBy(*keys)
+        return ranked.agg(*[F.min_by(c, "_order").alias(c) for c in rest]).select(*df.columns) if rest else df.distinct()
     row = F.struct(*[F.col(c) for c in df.columns])
     first = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row"))
     return first.select("_row.*")
 
 
+#: Bits that a period of six digits leaves for the position within it.
+POSITION_BITS = 43
+
+
+def fixed_order(period: str | Column, position: Column, bits: int = POSITION_BITS) -> Column:
+    """Period (null last) and file position as one number that sorts as the two do.
+
+    Aggregates compare a number and keep it in place; of a struct every column
+    makes its own copy and compares it field by field. A period that is not
+    six digits, or a position below 0 or of more than ``bits`` bits, is an
+    error, never a wrong order.
+    """
+    text = F.coalesce(F.col(period) if isinstance(period, str) else period, F.lit(LAST_PERIOD))
+    month, at = text.try_cast("long"), position.cast("long")
+    fits = (F.length(text) == 6) & month.between(100_000, 999_999) & at.between(0, (1 << bits) - 1)
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("order does not fit:"), text, at.cast("string")))
+    return F.when(fits, month * F.lit(1 << bits) + at).otherwise(wrong)
+
+
 def last_per_loan(
     df: DataFrame,
     key: str = "loan_seq_num",
@@ -57,11 +88,14 @@ def last_per_loan(
     """Per loan and per column the last value that is not null.
 
     ``max_by`` skips rows whose ordering is null, so the ordering is made null
-    wherever the value is. One shuffle, reduced per loan before it.
+    wherever the value is. One shuffle, reduced per loan before it. With one
+    number as the order (:func:`fixed_order`) number columns take a hash
+    aggregate; text columns, which have no fixed width, sort each task's own
+    rows by loan.
     """
-    order = list(order) or period_order()
+    order = [F.col(c) if isinstance(c, str) else c for c in order or period_order()]
     columns = [c for c in (columns or df.columns) if c != key]
-    ranked = df.withColumn("_order", F.struct(*order))
+    ranked = df.withColumn("_order", order[0] if len(order) == 1 else F.struct(*order))
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in columns]
     return ranked.groupBy(key).agg(*last)
 

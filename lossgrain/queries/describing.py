@@ -21,7 +21,7 @@ MEDIAN = f"quantile_cont({Y}, 0.5)"
 @query("a1_dedupe_first", sql("""SELECT loan_seq_num, min_by(zero_balance_removal_upb, position) AS first_upb,
   min_by(current_delinquency_status, position) AS first_status FROM hist GROUP BY loan_seq_num""", "hist"))
 def a1(spark, d):
-    order = rv.period_order("monthly_reporting_period", "position")
+    order = [rv.fixed_order("monthly_reporting_period", F.col("position"))]
     columns = ["loan_seq_num", "zero_balance_removal_upb", "current_delinquency_status",
                "monthly_reporting_period", "position"]
     first = rv.dedupe_first(hist(spark, d).select(*columns), "loan_seq_num", order)

@@ -127,9 +127,10 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(code.isin("02", "03", "06", "09"), 0.0).otherwise(price).alias("current_upb"),
         status.alias("current_delinquency_status"),
         flag.alias("modification_flag"),
-        F.struct(
-            "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
-        ).alias("position"),
+        # Ship day, line and part tell the rows of an order apart, so the further fields of the SQL's position
+        # never decide. 43 bits: 13, 4 and 26.
+        ((F.date_diff("l_shipdate", F.lit("1990-01-01").cast("date")).cast("long") * 16 + F.col("l_linenumber"))
+         * (1 << 26) + F.col("l_partkey")).alias("position"),
     )
 
 
@@ -152,7 +153,7 @@ HIST = f"""hist AS (
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = rv.period_order("monthly_reporting_period", "position")
+    order = [rv.fixed_order("monthly_reporting_period", F.col("position"))]
     return rv.last_per_loan(rv.filter_defaults(hist(spark, sf_dir)), order=order, columns=HISTORY_VALUES)
 
 

@@ -216,6 +216,27 @@ def test_batches_are_accepted_whole(spark):
     assert {r["batch"]: r["count"] for r in kept} == {"two": 2, "one": 1}
 
 
+def test_fixed_orders_give_the_rows_of_struct_orders(spark):
+    from lossgrain.operators import resolve as rv
+
+    r = __import__("random").Random(4)
+    rows = [(str(r.randrange(30)), r.choice([None, "200001", "199912", "201511"]), i, r.choice([None, 1.5, 2.5, 3.0]),
+             r.choice([None, "a", "bb"])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, p string, at bigint, x double, y string")
+    wanted = None
+    for parts in (1, 7):
+        some = df.repartition(parts)
+        for order in ([rv.fixed_order("p", F.col("at"))], rv.period_order("p", "at")):
+            got = sorted(map(str, rv.last_per_loan(some, "k", order, ["x", "y"]).collect()))
+            first = sorted(map(str, rv.dedupe_first(some.select("k", "x", "at"), "k", ["at"]).collect()))
+            wide = sorted(map(str, rv.dedupe_first(some.select("k", "x", "at", "y"), "k", ["at"]).drop("y").collect()))
+            assert first == wide and (wanted is None or (got, first) == wanted)
+            wanted = got, first
+    for period, at in (("20001", 1), ("200001x", 1), ("200001", 1 << 43), ("200001", -1)):
+        with pytest.raises(Exception, match="order does not fit"):
+            spark.createDataFrame([(period, at)], "p string, at bigint").select(rv.fixed_order("p", F.col("at"))).collect()
+
+
 def test_log_first_write_wins(spark, tmp_path):
     path = str(tmp_path / "log")
     make = lambda rows: spark.createDataFrame(rows, "prediction_id string, second int, predicted_lgd double").select(  # noqa: E731,E501

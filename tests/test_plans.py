@@ -29,6 +29,16 @@ def test_keys_are_reduced_before_the_shuffle(spark):
         assert "partial_m" in text and text.count("Exchange hashpartitioning") == 1 and "Window" not in text
 
 
+def test_fixed_width_orders_take_hash_aggregates(spark):
+    history = tb.hist(spark, SMALL).where("monthly_reporting_period is not null")
+    order = [rv.fixed_order("monthly_reporting_period", F.col("position"))]
+    numbers = ["zero_balance_removal_upb", "net_sale_proceeds", "expenses", "mi_recoveries", "actual_loss"]
+    for df in (rv.last_per_loan(history, order=order, columns=numbers),
+               rv.dedupe_first(history.select("loan_seq_num", "expenses", "position"), "loan_seq_num", ["position"])):
+        text = plan(df)
+        assert text.count("HashAggregate(key") == 2 and "Sort" not in text
+
+
 def test_filters_and_columns_reach_the_scan(spark, cleaned):
     text = plan(rv.filter_vintage(cleaned, 1997, 1998).select("loan_seq_num"))
     assert "PushedFilters: [IsNotNull(vintage_year), GreaterThanOrEqual(vintage_year,1997)" in text
