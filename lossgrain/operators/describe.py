@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain import constants as K
 from lossgrain.functions.columns import clip, known, pearson, share
 from lossgrain.operators.order_stats import (
-    column_quantiles, number_cell, quantiles, with_running_counts,
+    column_quantiles, quantiles, with_running_counts,
 )
 
 
@@ -164,7 +166,7 @@ def ecdf(df: DataFrame, col: str = K.TARGET) -> DataFrame:
         .groupBy(F.col(col).cast("double").alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    running = with_running_counts(counts, "value", number_cell("value"))
+    running = with_running_counts(counts, "value")
     return running.select(
         "value",
         "n",
@@ -184,15 +186,63 @@ def corr_with_target(df: DataFrame, columns: Sequence[str], target: str = K.TARG
     return row.select(F.inline(pairs)).orderBy(F.asc_nulls_last("corr"), "feature")
 
 
+#: Rows from which the middle of each column is taken; any middle gives the same result.
+SHIFT_ROWS = 1000
+
+
+def _cross_products(df: DataFrame, columns: Sequence[str], shift: Sequence[float]) -> DataFrame:
+    """``i, sums``: for each column x against all others y, over rows with both: n and sums of x, y, xx, yy, xy, end to end.
+
+    Each task turns its rows into blocks of matrix products and leaves one row
+    for each column. These are added up in two steps, so that no task meets
+    the rows of all others.
+    """
+    p, middle = len(columns), np.asarray(shift)
+
+    def add_up(batches):
+        out = np.zeros((6, p, p))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            has = ~np.isnan(x)
+            x, known_ = np.where(has, x - middle, 0.0), has.astype(float)
+            out += np.stack([known_.T @ known_, x.T @ known_, known_.T @ x, (x * x).T @ known_, known_.T @ (x * x), x.T @ x])
+        rows = out.transpose(1, 0, 2).reshape(p, 6 * p)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(p, dtype=np.int32)), pa.array(list(rows), pa.list_(pa.float64()))], ["i", "sums"])
+
+    def join(table: pa.Table) -> pa.Table:
+        rows = table.column("sums").combine_chunks()
+        total = rows.flatten().to_numpy().reshape(len(rows), 6 * p).sum(axis=0)
+        return pa.table({"i": table.column("i").slice(0, 1), "sums": pa.array([total], pa.list_(pa.float64()))})
+
+    made = df.select(*[known(c).alias(f"c{j}") for j, c in enumerate(columns)]).mapInArrow(
+        add_up, "i int, sums array<double>").withColumn("lane", F.spark_partition_id() % 64)
+    lanes = made.groupBy("i", "lane").applyInArrow(join, "i int, sums array<double>")
+    return lanes.groupBy("i").applyInArrow(join, "i int, sums array<double>")
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Lower triangle of the correlation matrix from one scan."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    row = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return row.select(F.inline(cells))
+    """Lower triangle of the correlation matrix, over the rows where both sides exist, from one scan.
+
+    Sums of products of all pairs come from matrix products with masks, so the
+    plan does not grow with the columns. A side that is constant (to 13
+    digits of its distance from the column's middle) gives null.
+    """
+    columns = list(columns)
+    some = df.select(*[known(c).alias(f"c{j}") for j, c in enumerate(columns)]).limit(SHIFT_ROWS).toPandas()
+    shift = some.median().fillna(0.0).tolist()
+    names = F.array(*map(F.lit, columns))
+    p = len(columns)
+    rows = _cross_products(df, columns, shift).select("i", "sums", F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("j")).where("j < i")
+
+    def total(block: int) -> Column:
+        return F.element_at("sums", F.col("j") + 1 + block * p)
+
+    n, sx, sy, sxx, syy, sxy = (total(k) for k in range(6))
+    vx, vy = (ss - F.try_divide(t * t, n) for ss, t in ((sxx, sx), (syy, sy)))
+    both_vary = (vx > sxx * 1e-13) & (vy > syy * 1e-13)
+    corr = F.when(both_vary, (sxy - sx * sy / n) / F.sqrt(vx * vy))
+    return rows.select(F.get(names, "i").alias("row"), F.get(names, "j").alias("col"), corr.alias("corr"))
 
 
 def category_classes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lossgrain import constants as K
 from lossgrain.functions.columns import finite, known, lookup, varies
 from lossgrain.operators.lookup import BROADCAST_BYTES, attach, measured
-from lossgrain.operators.order_stats import text_cell, with_running_counts
+from lossgrain.operators.order_stats import with_running_counts
 
 UNKNOWN = "Unknown"
 
@@ -62,7 +62,7 @@ def fit_encoder(df: DataFrame, columns: Sequence[str] = tuple(K.CATEGORICAL_FEAT
         for c in present
     ])
     values = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.lit(1).alias("n"))
-    ranked = with_running_counts(values, "value", text_cell("value"), ["column"])
+    ranked = with_running_counts(values, "value", ["column"])
     return ranked.select("column", "value", F.col("before_n").cast("int").alias("code"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lossgrain import constants as K
-from lossgrain.operators.order_stats import number_cell, with_running_counts
+from lossgrain.operators.order_stats import with_running_counts
 
 
 def prediction_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -108,7 +108,7 @@ def ks_statistic(
     counts = both.groupBy("feature", "value").agg(
         per_sample[0].alias("n_s"), per_sample[1].alias("n_t")
     )
-    running = with_running_counts(counts, "value", number_cell("value"), ["feature"], ["n_s", "n_t"])
+    running = with_running_counts(counts, "value", ["feature"], ["n_s", "n_t"])
 
     def reached(n: str) -> Column:
         return F.try_divide(F.col(f"before_{n}") + F.col(n), F.col(f"total_{n}"))

@@ -3,9 +3,10 @@
 The built-in exact ``percentile`` keeps one map of all distinct values per
 group, and a running total over a whole column is one task. Both are replaced
 by the same two steps: equal values are collapsed with a map-side count, and
-the counts are added up per *cell*, where a cell is a fixed function of the
-value that keeps the order. Running totals are then taken over the few cells
-and, separately, inside single cells.
+the counts are added up per *cell*: for order statistics a fixed function of
+the value that keeps the order, for running counts a range of the distinct
+values. Running totals are then taken over the few cells and, separately,
+inside single cells.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ STEPS = 8192
 EXPONENT_SHIFT = 1100
 
 
-def number_cell(c: str | Column) -> Column:
-    """Cell of a double: its binary exponent and the leading 13 bits.
+def number_cell(c: str | Column, steps: int = STEPS) -> Column:
+    """Cell of a double: its binary exponent and the leading bits (13 for ``STEPS``).
 
     Non-decreasing in the value, and independent of the data, so that two
     passes always agree on it.
@@ -30,8 +31,8 @@ def number_cell(c: str | Column) -> Column:
     value = F.col(c) if isinstance(c, str) else c
     size = F.least(F.abs(value), F.lit(1.7976931348623157e308))
     exponent = F.floor(F.log2(F.when(size > 0, size)))
-    step = F.floor(size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(float(STEPS)))
-    cell = (exponent + EXPONENT_SHIFT) * (2 * STEPS) + step
+    step = F.floor(size / F.pow(F.lit(2.0), exponent.cast("double")) * F.lit(float(steps)))
+    cell = (exponent + EXPONENT_SHIFT) * (2 * steps) + step
     return (
         F.when(value > 0, cell).when(value < 0, -cell).when(value.isNotNull(), F.lit(0)).cast("long")
     )
@@ -59,15 +60,17 @@ def _same_cell(by: list[str]) -> list[Column]:
 
 
 def with_running_counts(
-    counts: DataFrame, value: str, cell: Column, by: Sequence[str] = (), n: Sequence[str] = ("n",)
+    counts: DataFrame, value: str, by: Sequence[str] = (), n: Sequence[str] = ("n",)
 ) -> DataFrame:
     """Add ``before_<n>`` (rows with a smaller value) and ``total_<n>``.
 
     ``counts`` has one row per group and distinct value with one or several
-    count columns ``n``. It is written once, as it is read twice.
+    count columns ``n``. It is written once, in ranges of group and value
+    whose limits Spark samples from these rows; a range is what one task adds
+    up. As no value comes twice, ranges are even however the values lie.
     """
     by, n = list(by), list(n)
-    celled = pin(counts.withColumn("_cell", cell))
+    celled = pin(counts.repartitionByRange(*by, value).withColumn("_cell", F.spark_partition_id()))
     sums = celled.groupBy(*by, "_cell").agg(*[F.sum(c).alias(c) for c in n])
     whole = Window.partitionBy(*by)
     offsets = sums.select(

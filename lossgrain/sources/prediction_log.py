@@ -137,10 +137,14 @@ def _rows(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 def read_predictions(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> DataFrame:
     """The whole log, or the days (``yyyy-MM-dd``) from the first to the second of ``days``; empty before the first append."""
-    places = [f"{path}/data/token={c.token}" for c in cm.commits(spark, path)]
-    if not places:
+    return appended(spark, path, [f"{path}/data/token={c.token}" for c in cm.commits(spark, path)], days)
+
+
+def appended(spark: SparkSession, path: str, folders: list[str], days: tuple[str, str] | None = None) -> DataFrame:
+    """The rows of some appends of the log at ``path``, given by their folders."""
+    if not folders:
         return spark.createDataFrame([], LOG_SCHEMA)
-    table = spark.read.schema(f"{LOG_SCHEMA}, token string, day string").option("basePath", f"{path}/data").parquet(*places)
+    table = spark.read.schema(f"{LOG_SCHEMA}, token string, day string").option("basePath", f"{path}/data").parquet(*folders)
     return (table if days is None else table.where(F.col("day").between(*days))).select(*LOG_COLUMNS)
 
 

@@ -2,34 +2,58 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lossgrain.sources import commits as cm
 
-def stage(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None) -> None:
-    """Replace the table at ``path``.
 
-    With ``partition_by`` rows are rebalanced by those columns first: a task
-    writes few of the partitions, and a large partition is split by its size.
-    """
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-        return
-    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+#: Snapshots that stay for readers which have begun with them, the newest included.
+SNAPSHOTS = 3
+
 
+def stage(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None, keep: int = SNAPSHOTS) -> int:
+    """Replace the table at ``path``; returns the number of the new snapshot.
 
-def load_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table at ``path``, or an error that names where it was expected.
+    Rows are written to a folder of their own, which becomes the table only
+    when it is complete: a write that fails leaves the table as it was, a
+    reader keeps the snapshot it has begun with, and ``df`` may read the table
+    itself. All but the last ``keep`` snapshots are deleted afterwards.
 
-    A partitioned table without rows has no file to take the columns from,
-    hence the optional ``schema``.
+    With ``partition_by`` rows are rebalanced by those columns first: a task
+    writes few of the partitions, and a large partition is split by its size.
+    """
+    spark, token = df.sparkSession, uuid.uuid4().hex
+    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+    rows = df.hint("rebalance", *columns) if columns else df
+    (rows.write.partitionBy(*columns) if columns else rows.write).parquet(f"{path}/data/{token}")
+    version = cm.latest(spark, path) + 1
+    while not cm.claim(spark, path, version, token, base=True):
+        version += 1
+    for old in cm.all_commits(spark, path)[:-max(keep, 1)]:
+        cm.delete(spark, f"{path}/data/{old.token}")
+    return version
+
+
+def load_stage(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, version: int | None = None
+) -> DataFrame:
+    """The newest snapshot of the table at ``path`` (or a kept one, by number), or an error that names where it was expected.
+
+    A plain folder of Parquet files is read as it is. A partitioned table
+    without rows has no file to take the columns from, hence the optional
+    ``schema``.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
+    found = cm.commits(spark, path) if version is None else [c for c in cm.all_commits(spark, path) if c.version == version]
+    place = f"{path}/data/{found[-1].token}" if found else path
     try:
-        return reader.parquet(path)
+        if version is not None and not found:
+            raise FileNotFoundError(f"snapshot {version} of the stage table not found, expected at: {path}")
+        return reader.parquet(place)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

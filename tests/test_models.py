@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lossgrain import constants as K
+from lossgrain.functions.columns import tail_weight
 from lossgrain.operators import evaluate as ev
 from lossgrain.operators import model as md
 from lossgrain.operators import monitor as mo
@@ -89,6 +90,44 @@ def test_bootstrap_intervals(spark, data):
     assert abs(row.m - 1) < 0.15 and abs(row.s - 1) < 0.3 and abs(row.c) < 0.2
 
 
+def test_members_equal_single_fits(spark, data):
+    """The coefficients of a fit of its own for every member, at any partitioning."""
+    train = data.where("train")
+    together = md.fit_members(train.repartition(7), X, members=5)
+    alone = md.fit_members(train.coalesce(1), X, members=5)
+    assembler, rows, scaler = md.assemble(train, X)
+    for m, scorer in enumerate(together):
+        weight = md.poisson_weight(F.col("loan_seq_num").cast("string"), m) * tail_weight(K.TARGET)
+        single = md._fit_logit(assembler, rows.withColumn("_w", weight).where("_w > 0"), "_w", K.TARGET, 100, 1e-14)
+        wanted = md.scorer_of(md.FittedModel(single, X, scaler))
+        for got in (scorer, alone[m]):
+            assert got.intercept == pytest.approx(wanted.intercept, abs=1e-8)
+            assert [got.coefficients[c] for c in X] == pytest.approx([wanted.coefficients[c] for c in X], abs=1e-8)
+
+
+def test_passes_grow_with_iterations_only(data, monkeypatch):
+    passes, real = [], md.member_sums
+    monkeypatch.setattr(md, "member_sums", lambda *a: passes.append(1) or real(*a))
+    counts = []
+    for members in (1, 12):
+        passes.clear()
+        md.fit_members(data.where("train"), X, members=members)
+        counts.append(len(passes))
+    assert max(counts) <= min(counts) + 2 and max(counts) < 15
+
+
+def test_members_of_odd_training_sets(spark, caplog):
+    """A constant feature gets 0; a target beyond reach of the limit of iterations is reported; no rows give zeros."""
+    rows = [(str(i), 0.3 + 0.4 * (i % 2), float(i % 2), 5.0) for i in range(200)]
+    train = spark.createDataFrame(rows, f"loan_seq_num string, {K.TARGET} double, x0 double, x1 double")
+    fitted = md.fit_members(train, X, members=3)
+    assert all(s.coefficients["x1"] == pytest.approx(0.0, abs=1e-12) and s.coefficients["x0"] > 0.5 for s in fitted)
+    md.fit_members(train, X, members=2, iterations=1)
+    assert "limit of 1 iterations" in caplog.text
+    none = md.fit_members(train.limit(0), X, members=2)
+    assert all(s.intercept == 0.0 and set(s.coefficients.values()) == {0.0} for s in none)
+
+
 def test_interval_of_known_members(spark):
     members = [md.LinearScorer(v, {"x": 0.0}, "identity") for v in (0.1, 0.5, 0.2, 0.4, 0.3)]
     row = md.predict_with_interval(spark.createDataFrame([(1.0,)], "x double"), members).first()

@@ -139,6 +139,65 @@ def test_lookup_paths_agree(spark, small):
     assert ("_salt" in plan) != small
 
 
+def test_only_heavy_keys_are_salted(spark):
+    """One key with a third of all rows is dealt over all salts; of the table only its row is repeated."""
+    n, salts = 30_000, 8
+    big = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2000).cast("int").alias("k"), "id")
+    big = big.unionByName(spark.range(900).select(F.lit(None).cast("int").alias("k"), (F.col("id") + n).alias("id")))
+    table = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))  # a wider type
+    rows, spread = lk.salted_sides(big, table, ["k"], salts)
+    assert spread.count() == 2000 + salts - 1
+    most = rows.groupBy("k", "_salt").count().agg(F.max("count")).first()[0]
+    assert most < n // 3 // salts * 1.3
+    joined = lk.attach(big, table, ["k"], salts=salts)
+    assert joined.count() == n + 900
+    assert joined.where("k is not null and (v is null or v <> k * 2)").count() == 0
+    assert lk.attach(big, table, ["k"], how="inner", salts=salts).count() == n
+    assert lk.heavy_keys(big.where("false"), ["k"], salts) == []
+
+
+def test_running_counts_of_values_that_share_their_leading_bits(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = 1.0 + rng.integers(0, 3000, 20_000) * 1e-9
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert df.select(os_.number_cell("x")).distinct().count() == 1
+    stored, real = [], os_.pin
+    monkeypatch.setattr(os_, "pin", lambda t: stored.append(real(t)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        steps = ds.ecdf(df, "x").orderBy("value").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = stored[0].groupBy("_cell").count().collect()
+    assert len(ranges) >= 3 and max(r["count"] for r in ranges) < 0.6 * sum(r["count"] for r in ranges)
+    values, counts = np.unique(x, return_counts=True)
+    assert [r.value for r in steps] == values.tolist() and [r.n for r in steps] == counts.tolist()
+    assert [r.last_step for r in steps] == pytest.approx(np.cumsum(counts) / len(x), abs=1e-15)
+
+
+def test_many_columns_correlate_in_one_scan(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    n, p = 400, 300
+    x = rng.normal(size=(n, p)) * np.exp(rng.normal(size=p) * 3) + rng.normal(size=p) * 1000
+    x[:, 1] = x[:, 0] * -2
+    x[rng.random((n, p)) < 0.1] = np.nan
+    x[:, 5], x[:, 6] = 0.1, np.nan
+    path, names = str(tmp_path / "wide"), [f"v{j}" for j in range(p)]
+    spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    matrix = ds.corr_matrix(df, names)
+    assert matrix._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    got = np.full((p, p), np.nan)
+    for r in matrix.collect():
+        got[int(r.row[1:]), int(r.col[1:])] = np.nan if r["corr"] is None else r["corr"]
+    wanted = pd.DataFrame(x).corr().to_numpy()
+    wanted[[5, 6], :] = wanted[:, [5, 6]] = np.nan
+    below = np.tril_indices(p, -1)
+    assert np.isnan(got[below]).tolist() == np.isnan(wanted[below]).tolist()
+    assert np.nanmax(np.abs(got[below] - wanted[below])) < 1e-9
+
+
 def rule(keys_by_stratum, seed=42, test=0.15, val=0.15):
     import hashlib
     out = {}
