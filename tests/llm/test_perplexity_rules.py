@@ -174,17 +174,47 @@ def test_small_languages_are_not_judged_by_others(spark):
 def test_remembered_words_are_bounded(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"the word{i}", "en") for i in range(1200)], "doc_id int, text string, lang string")
     model, asked = rules.fit(docs), []
-    plain = rules.word_scores
+    plain = rules.Scorer.__call__
 
-    def spy(fresh_words, *rest):
+    def spy(scorer, fresh_words, *rest):
         asked.extend(fresh_words)
-        return plain(fresh_words, *rest)
+        return plain(scorer, fresh_words, *rest)
 
     def here(rows, scored, schema):
         list(scored(rows.toArrow().combine_chunks().to_batches()))
         return spark.createDataFrame([], schema)
 
-    monkeypatch.setattr(rules, "word_scores", spy)
+    monkeypatch.setattr(rules.Scorer, "__call__", spy)
     monkeypatch.setattr(type(docs), "mapInArrow", here)
     rules.score(docs, model, remembered=100)
     assert asked.count(b"the") == 3 and len(asked) == 1203
+
+
+def test_grams_forgotten_change_no_score(spark):
+    r = random.Random(8)
+    own = ["".join(r.choice("abcdeé你") for _ in range(r.randint(1, 9))).encode() for _ in range(600)]
+    docs = spark.createDataFrame([(i, b" ".join(own[i:i + 40]).decode(), "en") for i in range(0, 600, 20)],
+                                 "doc_id int, text string, lang string")
+    model = rules.fit(docs)
+    langs = np.full(len(own), rules.lang_hash("en"), np.uint64)
+    whole, sizes = rules.word_scores(own, langs, model)
+    scorer, parts = rules.Scorer([model, model], held=50), []
+    for i in range(0, 600, 7):
+        (one, two), n = scorer(own[i:i + 7], langs[i:i + 7])
+        assert np.array_equal(one, two) and np.array_equal(n, sizes[i:i + 7])
+        parts.append(one)
+    assert np.array_equal(np.concatenate(parts), whole)
+
+
+def test_longest_grams_are_those_of_a_loop():
+    r = random.Random(9)
+    own = list({"".join(r.choice("ab\u0301你𝒳") for _ in range(r.randint(1, 9))).encode() for _ in range(300)}) + [b"\xff\xfe", b"a"]
+    counts = np.array([r.randint(1, 9) for _ in own])
+    wanted = {}
+    for word, n in zip(own, counts):
+        text = f"{rules.BEGIN}{rules._plain(word)}{rules.END}"
+        for i in range(1, len(text)):
+            gram = text[max(0, i - 3):i + 1]
+            wanted[gram] = wanted.get(gram, 0) + n
+    grams, n = rules.longest_grams(own, counts, 4)
+    assert len(set(grams)) == len(grams) and dict(zip(grams, n)) == wanted
