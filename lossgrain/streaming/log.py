@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lossgrain.operators.monitor import json_numbers
-from lossgrain.session import scratch_path
+from lossgrain.session import pin, scratch_path
+from lossgrain.sources import commits as cm
+from lossgrain.sources import prediction_log as pl
 
 EPOCH_WINDOW = "30 days"
 
@@ -60,30 +63,92 @@ def stream_drift(
     return means.join(known, "feature").withColumn("mean_shift", F.round(shift, 4))
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> str:
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start(writer, spark: SparkSession) -> StreamingQuery:
+    """Start with the state in RocksDB: on disk, in changed parts only, so that it may outgrow the memory of a task."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
+def run_to_table(stream: DataFrame, label: str, mode: str = "append", place: str | None = None) -> str:
     """Process everything available and leave the result as a table.
 
     Append output goes to a file sink. Revised rows of update mode are kept
     per micro-batch with its number, as files cannot be revised. Returns the
-    path of the table.
+    path of the table. A run that is given the path of an earlier one goes on
+    from its checkpoint: with its state, its watermark and what is new in the
+    source.
     """
     spark = stream.sparkSession
-    path = scratch_path(spark, label)
-    state = scratch_path(spark, f"{label}-state")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", state)
+    path = place or scratch_path(spark, label)
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}-state")
     writer = writer.trigger(availableNow=True)
     if mode == "append":
-        query = writer.format("parquet").option("path", path).start()
+        writer = writer.format("parquet").option("path", path)
     else:
         def keep(batch: DataFrame, number: int) -> None:
             numbered = batch.withColumn("_batch", F.lit(number))
             numbered.write.mode("overwrite").parquet(f"{path}/_batch_no={number}")
 
-        query = writer.foreachBatch(keep).start()
+        writer = writer.foreachBatch(keep)
+    query = _start(writer, spark)
     query.awaitTermination()
     return path
 
 
+SEEN_SCHEMA = "batch bigint, arrived bigint, late bigint, newest timestamp"
+
+
+def write_log(stream: DataFrame, path: str, watermark: str = "1 day") -> None:
+    """Process everything available into the prediction log at ``path``/log, with late rows kept apart in ``path``/late.
+
+    A row is late if its time lies more than ``watermark`` before the newest
+    time of the batches before its own. What arrived, how much of it was late
+    and the newest time are observed while a batch is written and kept in
+    ``path``/seen, so a restart goes on with the same bound. A batch that is
+    processed again changes nothing: the log knows it by name, and its other
+    rows are replaced.
+    """
+    spark = stream.sparkSession
+
+    def take(batch: DataFrame, number: int) -> None:
+        bound = seen_batches(spark, path).where(F.col("batch") < number).agg(
+            (F.max("newest") - F.expr(f"interval {watermark}")).alias("bound")).first()["bound"]
+        late = F.coalesce(F.col("ts") < F.lit(bound), F.lit(False)) if bound else F.lit(False)
+        seen = Observation()
+        marked = pin(as_instant(batch).withColumn("_late", late).observe(
+            seen, F.count("*").alias("arrived"), F.count_if("_late").alias("late"), F.max("ts").alias("newest")))
+        marked.where("_late").drop("_late").write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+        pl.append_predictions(spark, f"{path}/log", marked.where("not _late").drop("_late"), batch=f"batch {number}")
+        found = seen.get
+        spark.createDataFrame([(number, found["arrived"], found["late"], found["newest"])], SEEN_SCHEMA).write.mode(
+            "overwrite").parquet(f"{path}/seen/no={number}")
+
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(take)
+    _start(writer, spark).awaitTermination()
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/*") if cm.exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def seen_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Per batch: rows that arrived, late ones among them, newest time."""
+    return _table(spark, f"{path}/seen", SEEN_SCHEMA)
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that came too late for the log."""
+    return _table(spark, f"{path}/late", pl.LOG_SCHEMA)
+
+
 def latest(spark: SparkSession, path: str, keys: list[str], schema) -> DataFrame:
     """The newest revision of every key from an update-mode table."""
     rows = spark.read.schema(schema).parquet(f"{path}/*")

@@ -139,6 +139,34 @@ def test_stage_replaces_and_missing_names_path(spark, tmp_path):
         st.load_stage(spark, str(tmp_path / "nothing-here"))
 
 
+def test_a_failed_stage_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert st.stage(spark.range(5), path) == 1
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        st.stage(broken.repartition(4), path)
+    assert st.load_stage(spark, path).count() == 5
+
+
+def test_stage_snapshots(spark, tmp_path):
+    """A table may be made from itself; readers keep their snapshot; old ones go; plain folders are read as they are."""
+    path = str(tmp_path / "t")
+    st.stage(spark.range(4).withColumn("part", F.col("id") % 2), path, "part")
+    reader = st.load_stage(spark, path)
+    st.stage(reader.where("id > 0"), path, "part")
+    assert reader.count() == 4 and st.load_stage(spark, path).count() == 3
+    assert "PartitionFilters: [isnotnull(part" in st.load_stage(
+        spark, path).where("part = 1")._jdf.queryExecution().executedPlan().toString()
+    assert st.load_stage(spark, path, version=1).count() == 4
+    for n in (7, 8):
+        st.stage(spark.range(n), path)
+    assert st.load_stage(spark, path).count() == 8 and st.load_stage(spark, path, version=2).count() == 3
+    with pytest.raises(FileNotFoundError, match="snapshot 9"):
+        st.load_stage(spark, path, version=9)
+    spark.range(6).write.parquet(str(tmp_path / "plain"))
+    assert st.load_stage(spark, str(tmp_path / "plain")).count() == 6
+
+
 def test_key_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     assert qa.count_duplicate_keys(df, "k").first()[0] == 1

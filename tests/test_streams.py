@@ -1,6 +1,9 @@
 from pyspark.sql import functions as F, types as T
 
+import pytest
+
 from lossgrain.operators import monitor as mo
+from lossgrain.sources import prediction_log as pl
 from lossgrain.streaming import log as sl
 
 SCHEMA = "prediction_id string, ts timestamp, features_json string, predicted_lgd double, model_version string"
@@ -59,3 +62,52 @@ def test_drift_equals_batch(spark, tmp_path):
     batch = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(path)
     want = mo.mean_shift(mo.json_feature_means(batch), baseline).first()
     assert [(r.feature, r.n, r.mean_shift) for r in row] == [("x", want.n, want.mean_shift)]
+
+
+LATE = [("e", 2 * DAY, 9.0, 0.9), ("c", 9 * DAY, 5.0, 0.5), ("f", 10 * DAY, 1.0, 0.2)]
+
+
+def test_a_restart_keeps_state_and_watermark(spark, tmp_path):
+    """Each batch is a query of its own; repeats of earlier batches and rows behind the watermark do not come through."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, rows in enumerate((FIRST, SECOND, LATE)):
+        write_batches(spark, f"{path}/{n}", rows)
+        sl.run_to_table(sl.stream_log(read(spark, path), "5 days"), "log", place=out)
+    assert sorted(r.prediction_id for r in spark.read.schema(SCHEMA).parquet(out).collect()) == ["a", "b", "c", "d", "f"]
+    assert spark.conf.get(sl.STATE_STORE, None) != sl.ROCKSDB  # only while the query starts
+
+
+def test_late_rows_are_counted_and_kept_apart(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, rows in enumerate((FIRST, SECOND, LATE)):
+        write_batches(spark, f"{path}/{n}", rows)
+        sl.write_log(read(spark, path), out, "5 days")
+    sl.write_log(read(spark, path), out, "5 days")  # nothing new
+    assert sorted(r.prediction_id for r in pl.read_predictions(spark, f"{out}/log").collect()) == ["a", "b", "c", "d", "f"]
+    assert [r.prediction_id for r in sl.late_rows(spark, out).collect()] == ["e"]
+    seen = sl.seen_batches(spark, out).orderBy("batch").collect()
+    assert [(r.arrived, r.late) for r in seen] == [(3, 0), (3, 0), (3, 1)]
+
+
+def test_a_batch_that_failed_half_way_is_repeated_whole(spark, tmp_path, monkeypatch):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_batches(spark, f"{path}/0", FIRST)
+    sl.write_log(read(spark, path), out, "5 days")
+    write_batches(spark, f"{path}/1", SECOND)
+    plain = pl.append_predictions
+
+    def broken(*args, **kwargs):
+        plain(*args, **kwargs)
+        raise OSError("lost after the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(pl, "append_predictions", broken)
+        with pytest.raises(Exception, match="lost after the commit"):
+            sl.write_log(read(spark, path), out, "5 days")
+    sl.write_log(read(spark, path), out, "5 days")
+    rows = [r.prediction_id for r in pl.read_predictions(spark, f"{out}/log").collect()]
+    assert sorted(rows) == ["a", "b", "c", "d"] and sl.seen_batches(spark, out).count() == 2
+
+
+def test_no_batches(spark, tmp_path):
+    assert sl.late_rows(spark, str(tmp_path / "none")).count() == sl.seen_batches(spark, str(tmp_path / "none")).count() == 0
