@@ -39,7 +39,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lossgrain.llm.common import attach, fresh, pin
 from lossgrain.llm.components import components
@@ -506,21 +506,39 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     return ids.select("k", F.col("n").alias("n_shingles"), F.coalesce("keeper", "k").alias("keeper"))
 
 
+def _slot(key: str | Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << 20))
+
+
+def _told_apart(docs: DataFrame, doc_id: str, text: str, key: str, slot: str) -> DataFrame:
+    """``docs`` with ``key``: the id, but a hash of id and text where an id has several texts, and its ``slot``."""
+    own = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text)))
+    several = pin(own.groupBy(key).agg(F.min(F.xxhash64(text)).alias("low"), F.max(F.xxhash64(text)).alias("high")).where(
+        "low <> high").select(key))
+    out = own.withColumn(slot, _slot(key))
+    if several.isEmpty():
+        return out
+    slots = F.broadcast(several.select(_slot(key).alias(slot)).distinct())
+    near = out.join(slots, slot, "left_semi")
+    apart = near.join(several, key, "left_semi").withColumn(key, F.xxhash64(key, text)).withColumn(slot, _slot(key))
+    return out.join(slots, slot, "left_anti").unionByName(near.join(several, key, "left_anti")).unionByName(apart)
+
+
 def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each component: the one with the smallest id; all rows without shingles stay.
 
-    Only rows that share one of 2**20 hash slots with a removed row are
-    shuffled; the table of these slots is the proven bound of what is
-    broadcast.
+    Rows are told by id and text: rows with one id and several texts are
+    different rows, ordered by a hash of both. Only rows that share one of
+    2**20 hash slots with a removed row are shuffled; the table of these slots
+    is the proven bound of what is broadcast.
     """
     key, slot = fresh(docs, "row_key", "row_slot")
-    hashed = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text))), F.lit(1 << 20))
-    keyed = docs.withColumns({key: F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(text)), slot: hashed})
-    found = groups(docs, doc_id, text, **options)
+    keyed = _told_apart(docs, doc_id, text, key, slot)
+    found = groups(keyed, key, text, **options)
     by_key = pin(found.groupBy(F.col("k").alias(key)).agg(
         F.count_if(F.col("k") == F.col("keeper")).alias("n"), F.max("n_shingles").alias("n_shingles")))
     removed = by_key.where("n = 0").select(key)
-    slots = F.broadcast(removed.select(F.pmod(F.xxhash64(key), F.lit(1 << 20)).alias(slot)).distinct())
+    slots = F.broadcast(removed.select(_slot(key).alias(slot)).distinct())
     kept = keyed.join(slots, slot, "left_anti").unionByName(
         keyed.join(slots, slot, "left_semi").join(removed, key, "left_anti").select(keyed.columns))
     repeated = by_key.where("n > 1 and n_shingles > 0").select(key)

@@ -76,11 +76,21 @@ def test_first_of_groups(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     ids = sorted(-1 if x.doc_id is None else x.doc_id for x in kept.select("doc_id").collect())
     # 7 is there twice with one text, 12 with two texts; both null ids stay, and 3 and 4 are without shingles.
-    assert ids.count(7) == 1 and ids.count(-1) == 2 and {1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13} <= set(ids)
+    assert ids.count(7) == 1 and ids.count(12) == 2 and ids.count(-1) == 2 and {1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 12, 13} <= set(ids)
     assert trie_join.first_of_groups(no_docs).count() == 0
     assert trie_join.groups(odd_docs).count() == odd_docs.count()
 
 
+def test_rows_of_one_id_are_told_by_their_texts(spark):
+    r = random.Random(31)
+    one, two, three, four = (words(r, 60) for _ in range(4))
+    rows = [(5, one), (5, two), (6, three), (7, f"{one} more"), (7, four), (8, two), (5, one)]
+    docs = spark.createDataFrame([(i, t, "kept") for i, t in rows], "doc_id bigint, text string, note string")
+    kept = [(x.doc_id, x.text) for x in trie_join.first_of_groups(docs, words=5, percent=80).collect()]
+    assert (6, three) in kept and (7, four) in kept and len(kept) == 4
+    assert sum(t in (one, f"{one} more") for _, t in kept) == 1 and sum(t == two for _, t in kept) == 1
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.frozensets(st.integers(0, 14), min_size=1, max_size=12), min_size=1, max_size=14),
        st.sampled_from([50, 80, 85, 100]))
