@@ -84,3 +84,16 @@ def ranked(df: DataFrame, part: str, order: Sequence[str | Column], out: str,
     numbered = spread.withColumn(rn, F.row_number().over(inside) - 1)
     return numbered.join(starts, [part, b]).withColumn(
         out, (F.col(base) + F.col(rn)).cast("long")).drop(b, base, rn)
+
+
+def disjoint(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the merged spans, which come by start."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b, _ in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends

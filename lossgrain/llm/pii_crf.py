@@ -5,18 +5,23 @@ miss: addresses with written-out marks, numbers with other separators. It
 scores whole candidate segments of a stretch of text (digit count, check
 sum, octets, separators, shape, neighbours), adds weights for neighbouring
 types, and chooses boundaries and types together by dynamic programming over
-segments of at most ``LONGEST`` tokens. Base spans always stay; a segment of
-the field is added where it overlaps none of them.
+segments of at most ``LONGEST`` tokens and, without an address mark,
+``MOST_DIGITS`` digits. Base spans always stay; a segment of the field is
+added where it overlaps none of them. The part before the mark of an address
+has at most 64 characters, the limit of mail addresses; the base has no such
+bound. Segments are made end by end and dropped once scored, so a long
+stretch takes a few bytes a token.
 
 The weights are fitted by conditional likelihood on at most ``stretches``
 stretches of a hash sample of the documents, labelled by the rules, on
 variants of these with replaced marks, and on stretches written by rule.
 
 Defined results: null and empty texts have no spans; a very long text is
-read whole, in linear time; a stretch without end is cut by the bound on
-segments only; repeated rows give repeated results; an empty table gives no
-rows and is fitted on the written stretches; further columns are kept by
-:func:`redact` and ignored otherwise.
+read whole, in linear time; of segmentations that score alike the one found
+first (shorter last segment, then label in the order of ``LABELS``) is taken;
+repeated rows give repeated results; an empty table gives no rows and is
+fitted on the written stretches; further columns are kept by :func:`redact`
+and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -25,17 +30,21 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lossgrain.llm.common import fresh
+from lossgrain.llm.common import disjoint, fresh
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 LONGEST = 24  # tokens in a segment
+MOST_DIGITS = 24  # in a segment without an address mark; no kind has more than 20
 
 # The base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -105,47 +114,74 @@ def stretches(text: str):
             yield m.start(), m.end()
 
 
-def _shape(part: str) -> str:
-    return re.sub("a+", "a", re.sub("d+", "d", re.sub(r"[^\W\d_]", "a", re.sub("[0-9]", "d", part))))[:40]
+_AT = re.compile(r"[\[({] ?at ?[\])}]", re.I)
+_ENDING = re.compile(r"(?:[.]|dot ?[])}]) ?[a-z]{2,12}$")
 
 
-def lattice(text: str, start: int, end: int):
-    """Token ends, and for each candidate (first token, last token + 1) its features without type."""
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
+def token_places(text: str, start: int, end: int) -> np.ndarray:
+    """Start and end of each token of a stretch."""
+    flat = (x for m in _TOKEN.finditer(text, start, end) for x in m.span())
+    return np.fromiter(flat, np.int64).reshape(-1, 2)
+
+
+def segments(text: str, start: int, end: int, places: np.ndarray) -> Iterator[tuple[int, int, tuple]]:
+    """Candidates (first token, last token + 1, features without type) by end; only the last tokens are held."""
     left = re.findall(r"[^\W\d_]+", text[max(0, start - 24):start])
     left = left[-1].lower() if left else ""
     before, after = text[start - 1:start], text[end:end + 1]
-    edges = []
-    for i, (a, _) in enumerate(tokens):
-        head = text[a]
-        if not (head.isalnum() or head in "+("):
+    marks = [m.start() for m in _AT.finditer(text, start, end)]
+    n = len(places)
+    held: list[tuple] = []  # (index, start, text, kind) of up to LONGEST tokens, and the two before them
+    addressed = bool(marks) or text.find("@", start, end) >= 0
+    for j in range(1, n + 1):
+        a, b = int(places[j - 1, 0]), int(places[j - 1, 1])
+        word = text[a:b]
+        kind = "d" if "0" <= word[0] <= "9" else "a" if word.isalpha() else word
+        held.append((j - 1, a, word, kind))
+        if len(held) > LONGEST + 2:
+            del held[0]
+        if not word[-1].isalnum():
             continue
-        for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
-            b = tokens[j - 1][1]
-            if not text[b - 1].isalnum():
+        ending = _ENDING.search(text, max(start, b - 24), b) if kind == "a" else None
+        ends_at = ending.start() if ending else -1
+        next_ = text[b:b + 1] if b < end else after
+        follows = "w" if next_.isalnum() else next_
+        number_after = j + 1 < n and "0" <= text[int(places[j + 1, 0])] <= "9"
+        digits, groups, shape, marked = 0, 0, "", False
+        for back in range(1, min(j, LONGEST) + 1):
+            i, a, word, kind = held[-back]
+            if kind == "d":
+                digits += len(word)
+                groups += 1
+            elif "@" in word:
+                marked = True
+            shape = kind + shape
+            at = bisect_left(marks, a)
+            written = at < len(marks) and marks[at] < b
+            if digits > MOST_DIGITS and not addressed:
+                break
+            head = word[0]
+            if not (head.isalnum() or head in "+(") or not (4 <= digits <= MOST_DIGITS or marked or written):
                 continue
-            part = text[a:b]
-            digits = _digits(part)
-            marked = "@" in part
-            written = bool(re.search(r"[\[({] ?at ?[\])}]", part, re.I))
-            if len(digits) < 4 and not (marked or written):
-                continue
-            groups = re.findall("[0-9]+", part)
-            octets = len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
-            shape = _shape(part)
+            octets = luhned = False
+            if groups == 4 and not marked and not written:
+                octets = all(len(w) <= 3 and int(w) <= 255 for _, _, w, k in held[-back:] if k == "d")
+            if 14 <= digits <= 19:
+                luhned = luhn("".join(w for _, _, w, k in held[-back:] if k == "d"))
             prev = text[a - 1:a] if a > start else before
-            next_ = text[b:b + 1] if b < end else after
-            features = [
-                "bias", f"digits={min(len(digits), 20)}", f"groups={min(len(groups), 8)}", f"shape={shape}",
-                f"whole={i == 0 and j == len(tokens)}", f"plus={head == '+'}",
-                f"luhn={14 <= len(digits) <= 19 and luhn(digits)}", f"octets={octets and not marked and not written}",
-                f"mark={'@' if marked else 'at' if written else '-'}",
-                f"domain={bool(re.search(r'(?:[.]|dot ?[])}]) ?[a-z]{2,12}$', part))}",
-                f"prev={'w' if prev.isalnum() else prev}", f"next={'w' if next_.isalnum() else next_}",
-                f"word={left}",
-            ]
-            edges.append((i, j, features))
-    return tokens, edges
+            number_before = back + 1 < len(held) and held[-back - 2][3] == "d"
+            yield i, j, (
+                "bias", f"digits={min(digits, 20)}", f"groups={min(groups, 8)}", f"shape={shape[:40]}",
+                f"whole={i == 0 and j == n}", f"plus={head == '+'}", f"luhn={luhned}", f"octets={octets}",
+                f"mark={'@' if marked else 'at' if written else '-'}", f"domain={ends_at >= a}",
+                f"prev={'w' if prev.isalnum() else prev}", f"next={follows}", f"word={left}",
+                f"numbers={number_before}{number_after}")
+
+
+def lattice(text: str, start: int, end: int):
+    """Tokens of a stretch and all its candidates."""
+    places = token_places(text, start, end)
+    return [tuple(p) for p in places.tolist()], list(segments(text, start, end, places))
 
 
 class Field:
@@ -183,24 +219,69 @@ class Field:
 
     def decode(self, n, rows):
         """Best segmentation: list of (first token, last token + 1, label > 0)."""
-        w, k = self.weights, len(LABELS)
-        pairs = w[len(self.index):].reshape(k, k)
-        best = [[-math.inf] * k for _ in range(n + 1)]
-        back: list[list] = [[None] * k for _ in range(n + 1)]
+        w = self.weights
+        return self._best(n, ((i, j, ((y, sum(w[x] for x in numbers)),)) for i, j, y, numbers in rows))
+
+    def decode_segments(self, n: int, found: Iterable[tuple[int, int, tuple]]):
+        """:meth:`decode` of candidates that come by end, none of them held."""
+        w, index = self.weights, self.index
+
+        @lru_cache(maxsize=50_000)
+        def scores(features: tuple) -> tuple:
+            return tuple((y, sum(w[index[name]] for name in (f"{LABELS[y]}|{f}" for f in features) if name in index))
+                         for y in range(1, len(LABELS)))
+
+        outside = ((0, float(w[index["O|out"]]) if "O|out" in index else 0.0),)
+
+        def steps():
+            done = 0
+            for i, j, features in found:
+                while done < j:  # the outside step to every end comes first
+                    yield done, done + 1, outside
+                    done += 1
+                yield i, j, scores(features)
+            for t in range(done, n):
+                yield t, t + 1, outside
+
+        return self._best(n, steps())
+
+    def _best(self, n: int, steps) -> list[tuple[int, int, int]]:
+        """Best path through steps (from, to, (label, score) pairs) that come by end.
+
+        Held are the scores at the last ``LONGEST`` ends, and one pointer (tokens
+        back, label before) per end and label.
+        """
+        k = len(LABELS)
+        pairs = self.weights[len(self.index):].reshape(k, k).T.tolist()
+        lost = -math.inf
+        ring = LONGEST + 1
+        best = [[lost] * k for _ in range(ring)]
         best[0][0] = 0.0
-        for i, j, y, numbers in rows:
-            score = sum(w[x] for x in numbers)
-            for a in range(k):
-                if best[i][a] > -math.inf:
-                    total = best[i][a] + score + pairs[a, y]
-                    if total > best[j][y]:
-                        best[j][y], back[j][y] = total, (i, a)
-        at, y, out = n, int(np.argmax(best[n])), []
+        # For each of the last ends and next label: the best score so far with the pair's weight, and its label.
+        leave: list[list] = [[]] * ring
+        size, before = np.zeros((n + 1) * k, np.int8), np.zeros((n + 1) * k, np.int8)
+        at = 0
+        for i, j, labels in steps:
+            while at < j:  # all steps to `at` have come
+                row = best[at % ring]
+                leave[at % ring] = [max((row[a] + pairs[y][a], -a) for a in range(k)) for y in range(k)]
+                at += 1
+                best[at % ring] = [lost] * k
+            row, into = leave[i % ring], best[j % ring]
+            for y, score in labels:
+                total = row[y][0] + score
+                if total > into[y]:
+                    into[y] = total
+                    size[j * k + y], before[j * k + y] = j - i, -row[y][1]
+        if not n:
+            return []
+        last = best[n % ring]
+        at, y, out = n, last.index(max(last)), []
         while at > 0:
-            i, a = back[at][y]
+            i = at - int(size[at * k + y])
             if y:
                 out.append((i, at, y))
-            at, y = i, a
+            at, y = i, int(before[at * k + y])
         return out[::-1]
 
     def gradient(self, n, rows, gold: set, into: np.ndarray) -> float:
@@ -262,6 +343,11 @@ def written_stretches(count: int, seed: int = 7) -> list[tuple[str, list]]:
 
     for i in range(count):
         kind = ("email", "ip", "card", "phone", None)[i % 5]
+        if i % 10 == 9:  # a table of numbers
+            digits, sep = r.randint(2, 5), r.choice([" ", "  ", ".", "-", "/"])
+            part = sep.join(str(r.randint(10 ** (digits - 1), 10 ** digits - 1)) for _ in range(r.randint(8, 20)))
+            out.append((f"{word()} {part} {word()}", []))
+            continue
         if kind == "email":
             at = r.choice(["@", " [at] ", "(at)", " (at) ", "[at]", "{at}"])
             dot = "." if at == "@" else r.choice([".", " [dot] ", "(dot)", " (dot) "])
@@ -314,13 +400,13 @@ def fit_field(samples: list[tuple[str, list]], rounds: int = 12, rate: float = 0
 def find(text: str, field: Field) -> tuple[list, list]:
     """Base spans, and all spans: (start, end, kind) by start and kind."""
     base, added = base_spans(text), []
+    starts, ends = disjoint(base)
     for start, end in stretches(text):
-        tokens, edges = lattice(text, start, end)
-        if not edges:
-            continue
-        for i, j, y in field.decode(*field.compile(tokens, edges, False)):
-            a, b = tokens[i][0], tokens[j - 1][1]
-            if not any(a < e and s < b for s, e, _ in base):
+        places = token_places(text, start, end)
+        for i, j, y in field.decode_segments(len(places), segments(text, start, end, places)):
+            a, b = int(places[i, 0]), int(places[j - 1, 1])
+            after = bisect_left(starts, b)  # the first base span from b on
+            if not (after and ends[after - 1] > a):
                 added.append((a, b, LABELS[y]))
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 

@@ -137,3 +137,66 @@ def test_tables(spark, odd_docs, no_docs, tmp_path):
     assert clean.columns == [*docs.columns, "base"] and clean.count() == docs.count()
     assert pii_crf.detect(no_docs, pii_crf.fit(no_docs)).count() == 0
     assert secret_crf.detect(no_docs, secret_crf.fit(no_docs)).count() == 0
+
+
+def test_decoding_without_the_lattice_gives_the_same_segments():
+    field = pii_crf.fit_field(pii_crf.written_stretches(60))
+    texts = [t for t, _ in pii_crf.written_stretches(80, seed=9)] + ["+1 (974) 555-3436 12.34.56.78 4111-1111.1111_1111 " * 5]
+    for text in texts:
+        for start, end in pii_crf.stretches(text):
+            tokens, edges = pii_crf.lattice(text, start, end)
+            places = pii_crf.token_places(text, start, end)
+            streamed = field.decode_segments(len(places), pii_crf.segments(text, start, end, places))
+            assert streamed == field.decode(*field.compile(tokens, edges, False))
+
+
+def megabytes_and_seconds(call):
+    import time
+    import tracemalloc
+    started = time.time()
+    tracemalloc.start()
+    out = call()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, peak / 2**20, time.time() - started
+
+
+def test_number_tables_are_no_personal_data_and_take_little_memory():
+    import random
+    r = random.Random(3)
+    field = pii_crf.fit_field(pii_crf.written_stretches(300))
+    small, large = (" ".join(str(r.randint(100, 999)) for _ in range(n)) for n in (4000, 12_000))
+    assert pii_crf.find(small, field) == ([], [])
+    (base, found), peak, seconds = megabytes_and_seconds(lambda: pii_crf.find(large, field))
+    assert (base, found) == ([], []) and peak < 30 and seconds < 60
+    # An entity between two tables is found as well as alone.
+    mixed = f"{small} x bob [at] mail [dot] org y {small}"
+    assert [mixed[a:b] for a, b, _ in pii_crf.find(mixed, field)[1]] == ["bob [at] mail [dot] org"]
+
+
+def test_secrets_in_long_texts_without_white_space():
+    import random
+    r = random.Random(3)
+    chain = secret_crf.fit_chain(secret_crf.written_stretches(600))
+    han = [chr(0x4E00 + i) for i in range(3000)]
+
+    def value():
+        return "".join(r.choice("ABCDEFabcdef0123456789xyzXYZ") for _ in range(30))
+
+    wanted = [value() for _ in range(120)]
+    text = "".join("".join(r.choice(han) for _ in range(200)) + "client_secret:" + v for v in wanted)
+    (base, found), peak, seconds = megabytes_and_seconds(lambda: secret_crf.find(text, chain))
+    assert peak < 60 and seconds < 60
+    assert [v for v in wanted if not any(v in text[a:b] for a, b, _ in found)] == []
+    # Every token of a stretch is decoded once, and stretches end on token borders.
+    for odd in (text, "a." * 200_000 + "key=" + value() * 3, value() * 5000, ("key" + "\u00e9") * 50_000):
+        last = 0
+        for a, b in secret_crf.stretches(odd):
+            assert last <= a < b
+            last = b
+            for at in {a, b} - {0, len(odd)}:
+                assert not (secret_crf._RUN.match(odd, at - 1) and secret_crf._RUN.match(odd, at))
+
+
+def test_a_secret_with_a_long_head_before_its_first_digit():
+    assert secret_crf.stretches("x " + "a" * 900 + "1 y") == [(0, 905)]
