@@ -184,9 +184,9 @@ def test_secrets_in_long_texts_without_white_space():
         return "".join(r.choice("ABCDEFabcdef0123456789xyzXYZ") for _ in range(30))
 
     wanted = [value() for _ in range(120)]
-    text = "".join("".join(r.choice(han) for _ in range(200)) + "client_secret:" + v for v in wanted)
+    text = "".join("".join(r.choice(han) for _ in range(200)) + "passphrase:" + v for v in wanted)
     (base, found), peak, seconds = megabytes_and_seconds(lambda: secret_crf.find(text, chain))
-    assert peak < 60 and seconds < 60
+    assert base == [] and peak < 60 and seconds < 60  # the rules do not know this key word
     assert [v for v in wanted if not any(v in text[a:b] for a, b, _ in found)] == []
     # Every token of a stretch is decoded once, and stretches end on token borders.
     for odd in (text, "a." * 200_000 + "key=" + value() * 3, value() * 5000, ("key" + "\u00e9") * 50_000):
