@@ -44,7 +44,7 @@ def test_shared_passages_are_found_and_removed(spark):
     assert {(x.doc_id, x.first_doc_id, x.stays) for x in found} == {(3, 3, True), (5, 3, False), (9, 3, False)}
     text = dict(rows)
     for x in found:
-        assert text[x.doc_id][x.start:x.stop] in passage and x.stop - x.start > 0.5 * len(passage)
+        assert passage in text[x.doc_id][x.start:x.stop] and x.stop - x.start <= len(passage) + 4
     left = {x.doc_id: x.text for x in chunk_dedup.without_repeats(docs, chunk_dedup.repeats(docs)).collect()}
     assert left[3] == text[3] and left[25] == text[25]
     for x in found:
@@ -63,3 +63,55 @@ def test_hot_chunk_and_odd_rows(spark, odd_docs, no_docs):
     assert chunk_dedup.repeats(no_docs).count() == 0
     out = chunk_dedup.without_repeats(odd_docs, chunk_dedup.repeats(odd_docs))
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+
+
+def test_every_passage_is_found_to_its_ends(spark):
+    """Equal stretches by comparison of the texts around the planted place, for passages of 51 words."""
+    r = random.Random(5)
+    planted, rows = {}, []
+    for k in range(150):
+        passage = words(r, 51)
+        for i in (k, 1000 + k):
+            before, after = words(r, r.randint(0, 30)), words(r, r.randint(0, 30))
+            rows.append((i, f"{before} {passage} {after}"))
+            planted[i] = (len(before) + 1, len(before) + 1 + len(passage))
+    text = dict(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {(x.doc_id, x.stays): x for x in chunk_dedup.repeats(docs).collect()}
+    missed = 0
+    for k in range(150):
+        (a, b), (c, d) = planted[1000 + k], planted[k]
+        while a and c and text[1000 + k][a - 1] == text[k][c - 1]:
+            a, c = a - 1, c - 1
+        while b < len(text[1000 + k]) and d < len(text[k]) and text[1000 + k][b] == text[k][d]:
+            b, d = b + 1, d + 1
+        if (1000 + k, False) not in found:
+            missed += 1
+            continue
+        copy, first = found[1000 + k, False], found[k, True]
+        assert (copy.start, copy.stop) == (a, b) and (first.start, first.stop) == (c, d)
+        assert 51 <= copy.n_words <= 55 and copy.first_doc_id == k
+    assert missed <= 1  # a stretch without two common cuts has no seed
+
+
+def test_long_equal_ends_take_further_rounds(spark):
+    """Equal text without chunks in common: the ends are compared beyond the first width."""
+    rows = [(1, "ab" * 3000 + "c"), (2, "x" + "ab" * 3000 + "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text_key", chunk_dedup.text_key())
+    key = {x.doc_id: x.text_key for x in docs.collect()}
+    edges = spark.createDataFrame([(2, key[2], 2 * 3001, 0, 1, key[1], 2 * 3000, 0), (2, key[2], 2 * 3001 + 1, 0, 1, key[1], 2 * 3000 + 1, 0)],
+                                  "doc_id bigint, text_key bigint, code bigint, word int, first_doc_id bigint, "
+                                  "first_key bigint, first_code bigint, first_word int")
+    out = chunk_dedup.equal_ends(docs, edges).collect()
+    mine = [x for x in out if not x.stays]
+    assert (min(x.start for x in mine), max(x.stop for x in mine)) == (1, 6001)
+    assert len(mine) > 4 and {x.doc_id for x in out if x.stays} == {1}
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    r = random.Random(6)
+    passage, other = words(r, 80), words(r, 300)
+    rows = [(1, passage), (2, f"{words(r, 20)} {passage}"), (2, other)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = chunk_dedup.without_repeats(docs, chunk_dedup.repeats(docs)).collect()
+    assert other in {x.text for x in left} and rows[1][1] not in {x.text for x in left}
