@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lossgrain import constants as K
-from lossgrain.functions.columns import tail_weight
+from lossgrain.functions.columns import clip, tail_weight
 from lossgrain.operators import evaluate as ev
 from lossgrain.operators import features as ft
 from lossgrain.operators import model as md
 from lossgrain.operators import split as sp
+from lossgrain.operators import trees as tr
 from lossgrain.queries.describing import histogram_sql
 from lossgrain.queries.features import encoded
 from lossgrain.queries.registry import query, r, rounded, rs
@@ -375,6 +376,28 @@ def m4_importance(spark, d):
                      F.bool_and(F.col("importance") >= 0).alias("not_negative"))
 
 
+@query("m4_tree_attributions", facts_sql("adds_up", "differs", "gains_agree"))
+def m4_attributions(spark, d):
+    """Parts of every loan beside its score; gains of the nodes beside the shares that the fit reports."""
+    table = matrix(spark, d)
+    model = md.fit_boosted_trees(train_of(table), K.FEATURES)
+    nodes = pin(tr.tree_nodes(spark, model))
+    leaves = tr.tree_leaves(nodes, model.pipeline.stages[1].treeWeights)
+    parts = tr.tree_attributions(table, model, leaves).groupBy("loan_seq_num").agg(
+        F.sum("attribution").alias("moved"))
+    gains = nodes.where("left >= 0").groupBy(
+        F.element_at(F.array(*map(F.lit, model.features)), F.col("feature") + 1).alias("feature")).agg(
+            F.sum(F.col("gain") * F.col("cover")).alias("gain"))
+    whole = gains.agg(F.sum("gain")).first()[0]
+    shares = gains.join(md.tree_importance(spark, model), "feature", "right")
+    apart = shares.agg(F.max(F.abs(F.coalesce(F.col("gain") / whole, F.lit(0.0)) - F.col("importance")))).first()[0]
+    scored = md.score(table, model).join(parts, "loan_seq_num")
+    explained = clip(F.lit(tr.tree_baseline(leaves)) + F.col("moved"), 0.0, 1.0)
+    return scored.groupBy("split").agg(
+        F.count("lgd").alias("n"), (F.max(F.abs(explained - F.col("lgd"))) < 1e-9).alias("adds_up"),
+        (F.stddev_pop("moved") > 0).alias("differs")).withColumn("gains_agree", F.lit(apart < 1e-9))
+
+
 @query("m5_fit_bounded_tail_weighted", facts_sql("within_bounds", "solved"))
 def m5(spark, d):
     table = matrix(spark, d)

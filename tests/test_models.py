@@ -1,3 +1,6 @@
+import itertools
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from lossgrain.functions.columns import tail_weight
 from lossgrain.operators import evaluate as ev
 from lossgrain.operators import model as md
 from lossgrain.operators import monitor as mo
+from lossgrain.operators import trees as tr
 from lossgrain.plans import scoring
 
 X = ["x0", "x1"]
@@ -257,3 +261,63 @@ def test_rank_stability(spark):
     old, new = frame(a=5.0, b=4.0, c=3.0, d=2.0, e=1.0), frame(a=1.0, b=5.0, c=4.0, d=3.0, f=2.0)
     got = {r.feature: (r.previous_rank, r.current_rank, r.alert) for r in mo.rank_stability(old, new).collect()}
     assert got == {"a": (1, 5, True), "b": (2, 1, False), "c": (3, 2, False), "d": (4, 3, False)}
+
+
+def known_value(nodes, weights, x, known):
+    """Mean of the trees where features outside ``known`` are weighted by cover."""
+    place = {(r.tree, r.node): r for r in nodes}
+
+    def walk(tree, number):
+        r = place[tree, number]
+        if r.left < 0:
+            return r.prediction
+        if r.feature in known:
+            return walk(tree, r.left if x[r.feature] <= r.threshold else r.right)
+        return sum(place[tree, c].cover / r.cover * walk(tree, c) for c in (r.left, r.right))
+
+    return sum(w * walk(t, 0) for t, w in enumerate(weights))
+
+
+def test_tree_attributions_equal_all_subsets(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    y = np.clip(0.4 + 0.2 * x[:, 0] * x[:, 1] + 0.1 * np.sin(3 * x[:, 2]), 0, 1)
+    names = ["a", "b", "c"]
+    rows = [(f"k{i}", *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))]
+    rows.append(("gap", None, float("nan"), 0.5, None))
+    schema = f"loan_seq_num string, a double, b double, c double, {K.TARGET} double"
+    df = spark.createDataFrame(rows, schema)
+    model = md.fit_boosted_trees(df.where(f"{K.TARGET} is not null"), names, rounds=4, depth=4, alpha=2.0)
+    table, weights = tr.tree_nodes(spark, model), model.pipeline.stages[1].treeWeights
+    leaves, nodes = tr.tree_leaves(table, weights), table.collect()
+    got = {}
+    for r in tr.tree_attributions(df, model, leaves).collect():
+        got.setdefault(r.loan_seq_num, {})[r.feature] = r.attribution
+    inputs = {r.loan_seq_num: [r[f"_x_{c}"] for c in names] for r in md.standardised(df, names, model.scaler).collect()}
+    raw = {r.loan_seq_num: r.lgd for r in model.pipeline.transform(md.standardised(df, names, model.scaler)).collect()}
+    assert len(got) == 301 and tr.tree_baseline(leaves) == pytest.approx(known_value(nodes, weights, [], ()))
+    for k, parts in got.items():
+        assert tr.tree_baseline(leaves) + sum(parts.values()) == pytest.approx(raw[k], abs=1e-12)
+    for k in ["gap", *[f"k{i}" for i in range(0, 300, 23)]]:
+        for i, c in enumerate(names):
+            others = [j for j in range(3) if j != i]
+            wanted = sum(
+                math.factorial(n) * math.factorial(2 - n) / 6
+                * (known_value(nodes, weights, inputs[k], {*s, i}) - known_value(nodes, weights, inputs[k], set(s)))
+                for n in range(3) for s in itertools.combinations(others, n))
+            assert got[k][c] == pytest.approx(wanted, abs=1e-12)
+    gains = np.zeros(3)
+    for r in nodes:
+        if r.left >= 0:
+            gains[r.feature] += r.gain * r.cover
+    shares = [r.importance for r in md.tree_importance(spark, model).collect()]
+    assert shares == pytest.approx(list(gains / gains.sum()), abs=1e-9)
+
+
+def test_tree_attributions_of_stumps_and_no_rows(spark, data):
+    flat = data.where("train").withColumn(K.TARGET, F.lit(0.5))
+    model = md.fit_boosted_trees(flat, X, rounds=2)
+    leaves = tr.tree_leaves(tr.tree_nodes(spark, model), model.pipeline.stages[1].treeWeights)
+    assert {r.attribution for r in tr.tree_attributions(flat, model, leaves).collect()} == {0.0}
+    assert tr.tree_baseline(leaves) == pytest.approx(0.5)
+    assert tr.tree_attributions(flat.limit(0), model, leaves).count() == 0
