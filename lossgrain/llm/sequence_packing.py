@@ -5,7 +5,8 @@ lengths travel on: pieces are dealt by hash into groups of bounded size, and
 each group is packed by itself. A group starts from best fit in descending
 order. Then pieces of the emptiest bins are moved, exchanged one for one,
 two for one or one for two with pieces of other underfull bins, each step
-increasing the sum of squared fills, until bins are empty and no step is left.
+increasing the sum of squared fills, until no step is left or no fewer bins
+could hold the pieces. Ties go to the first bin or piece in the group's order.
 
 Defined results: a null text is empty and gives one piece with the end mark;
 repeated rows are packed once each; a very long text gives as many pieces as
@@ -109,13 +110,32 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
+def _pairs(inside: list[int], size: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Every different sum of two pieces of a bin, and two pieces that have it."""
+    by_size: dict[int, list[int]] = {}
+    for k in inside:
+        by_size.setdefault(int(size[k]), []).append(k)
+    found: dict[int, tuple[int, int]] = {}
+    sizes = sorted(by_size)
+    for i, a in enumerate(sizes):
+        if len(by_size[a]) > 1:
+            found.setdefault(2 * a, (by_size[a][0], by_size[a][1]))
+        for b in sizes[i + 1:]:
+            found.setdefault(a + b, (by_size[a][0], by_size[b][0]))
+    sums = sorted(found)
+    return sums, [found[s][0] for s in sums], [found[s][1] for s in sums]
+
+
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
     """Local search between underfull bins; every step increases the sum of squared fills.
 
     Donors are taken from the emptiest bin upwards. A step gives a receiver
     ``gain`` more tokens out of its room: a piece is moved; one piece goes
     for a shorter one; two pieces go for one; one piece goes for two. With
-    fills a (receiver) and b (donor) the sum grows if a + gain > b.
+    fills a (receiver) and b (donor) the sum grows if a + gain > b. All
+    pieces and all sums of two pieces of all underfull bins are looked at,
+    and the donors are gone through again until a whole pass makes no step,
+    or no fewer bins could hold the pieces.
     """
     fills = [int(lengths[b].sum()) for b in bins]
     order = sorted((i for i, f in enumerate(fills) if f < capacity), key=lambda i: fills[i])
@@ -126,11 +146,24 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     item = np.concatenate([np.array(bins[i]) for i in order])
     size = lengths[item].astype(np.int64)
     fill = np.array(fills, dtype=np.int64)
-    contents: dict[int, list[int]] = {}
+    contents: dict[int, list[int]] = {i: [] for i in order}
     for k, w in enumerate(where.tolist()):
-        contents.setdefault(w, []).append(k)
+        contents[w].append(k)
+    # Sums of two pieces: bin, sum, the pieces.
+    twos = np.zeros((4, 0), np.int64)
+
+    def with_pairs(changed: list[int]) -> np.ndarray:
+        kept, added = twos[:, ~np.isin(twos[0], changed)], []
+        for b in changed:
+            if 0 < fill[b] < capacity:
+                sums, first, second = _pairs(contents[b], size)
+                added.append(np.array([[b] * len(sums), sums, first, second], np.int64))
+        return np.concatenate([kept, *added], axis=1)
+
+    twos = with_pairs(order)
 
     def shift(give: list[int], take: list[int], donor: int, to: int) -> None:
+        nonlocal twos
         moved = int(size[give].sum() - size[take].sum())
         for k in give:
             contents[donor].remove(k)
@@ -142,52 +175,54 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
             where[k] = donor
         fill[donor] -= moved
         fill[to] += moved
-
-    def step(donor: int, open_bins: np.ndarray) -> bool:
-        own = sorted(contents[donor], key=lambda k: -size[k])
-        targets = open_bins[open_bins != donor]
-        room = capacity - fill[targets]
-        for k in own:  # move
-            fits = np.flatnonzero((room >= size[k]) & (fill[targets] + size[k] > fill[donor]))
-            if len(fits):
-                shift([k], [], donor, int(targets[fits[np.argmin(room[fits])]]))
-                return True
-        others = np.flatnonzero((where != donor) & (fill[where] < capacity) & (fill[where] > 0))
-        if not len(others):
-            return False
-        o_size, o_room, o_fill = size[others], capacity - fill[where[others]], fill[where[others]]
-
-        def exchange(give: list[int]) -> bool:
-            gain = size[give].sum() - o_size
-            good = np.flatnonzero((gain > 0) & (gain <= o_room) & (o_fill + gain > fill[donor]))
-            if not len(good):
-                return False
-            at = int(good[np.argmax(gain[good])])
-            shift(give, [int(others[at])], donor, int(where[others[at]]))
+        twos = with_pairs([donor, to])
+
+    def best(given: np.ndarray, taken: np.ndarray, bin_of: np.ndarray, donor: int) -> tuple[int, int] | None:
+        """The places of the given (ascending) and the taken size with the largest allowed gain."""
+        if not len(given) or not len(taken):
+            return None
+        at = np.searchsorted(given, taken + capacity - fill[bin_of], "right") - 1
+        gain = given[np.maximum(at, 0)] - taken
+        good = np.flatnonzero((at >= 0) & (gain > 0) & (fill[bin_of] + gain > fill[donor]) & (bin_of != donor))
+        if not len(good):
+            return None
+        top = int(good[np.argmax(gain[good])])
+        return int(at[top]), top
+
+    def step(donor: int) -> bool:
+        own = sorted(contents[donor], key=lambda k: size[k])
+        ones = size[own]
+        open_bins = np.array([b for b in order if 0 < fill[b] < capacity], np.int64)
+        found = best(ones, np.zeros(len(open_bins), np.int64), open_bins, donor)
+        if found:  # move
+            shift([own[found[0]]], [], donor, int(open_bins[found[1]]))
+            return True
+        others = np.flatnonzero(fill[where] < capacity)
+        found = best(ones, size[others], where[others], donor)
+        if found:  # one for one
+            k = int(others[found[1]])
+            shift([own[found[0]]], [k], donor, int(where[k]))
+            return True
+        sums, first, second = _pairs(own, size)
+        found = best(np.array(sums, np.int64), size[others], where[others], donor)
+        if found:  # two for one
+            k = int(others[found[1]])
+            shift([first[found[0]], second[found[0]]], [k], donor, int(where[k]))
+            return True
+        found = best(ones, twos[1], twos[0], donor)
+        if found:  # one for two
+            to, _, a, b = twos[:, found[1]].tolist()
+            shift([own[found[0]]], [a, b], donor, to)
             return True
-
-        for k in own:  # one for one
-            if exchange([k]):
-                return True
-        for i, a in enumerate(own[:8]):  # two for one
-            for b in own[i + 1:8]:
-                if exchange([a, b]):
-                    return True
-        for to in targets[np.argsort(-room, kind="stable")][:16].tolist():  # one for two
-            inside = contents[to]
-            for k in own:
-                for i, a in enumerate(inside):
-                    for b in inside[i + 1:]:
-                        gain = int(size[k] - size[a] - size[b])
-                        if 0 < gain <= capacity - fill[to] and fill[to] + gain > fill[donor]:
-                            shift([k], [a, b], donor, to)
-                            return True
         return False
 
-    for donor in order:
-        open_bins = np.array([i for i in order if 0 < fill[i] < capacity])
-        while fill[donor] and fill[donor] < capacity and len(open_bins) > 1 and step(donor, open_bins):
-            open_bins = open_bins[(fill[open_bins] < capacity) & (fill[open_bins] > 0)]
+    least = -(-int(size.sum()) // capacity)
+    stepped = True
+    while stepped:
+        stepped = False
+        for donor in sorted(order, key=lambda i: fill[i]):
+            while 0 < fill[donor] < capacity and np.count_nonzero(fill[order]) > least and step(donor):
+                stepped = True
     touched = set(order)
     return ([b for i, b in enumerate(bins) if i not in touched]
             + [[int(item[k]) for k in contents[i]] for i in order if contents[i]])

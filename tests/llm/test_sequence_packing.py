@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -41,6 +42,35 @@ def test_search_empties_bins():
     assert len(packing.improve([list(b) for b in start], sizes, 100)) == 2
 
 
+def a_step_is_left(bins, sizes, capacity):
+    """Whether any move or exchange between two bins increases the sum of squared fills."""
+    fills = [int(sizes[b].sum()) for b in bins]
+    sets = lambda b, n: itertools.combinations(b, n)
+    for (i, donor), (j, to) in itertools.permutations(enumerate(bins), 2):
+        for gives, takes in ((1, 0), (1, 1), (2, 1), (1, 2)):
+            for give, take in itertools.product(sets(donor, gives), sets(to, takes)):
+                gain = int(sizes[list(give)].sum() - sizes[list(take)].sum())
+                if fills[i] < capacity and 0 < gain <= capacity - fills[j] and fills[j] + gain > fills[i]:
+                    return True
+    return False
+
+
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=24))
+def test_search_ends_where_no_step_is_left(lengths):
+    sizes = np.array(lengths)
+    found = packing.improve(packing.best_fit(sizes, 100), sizes, 100)
+    assert len(found) == -(-sizes.sum() // 100) or not a_step_is_left(found, sizes, 100)
+
+
+@given(st.lists(st.integers(20, 60), min_size=2, max_size=14))
+def test_search_from_a_bin_each(lengths):
+    sizes = np.array(lengths)
+    found = packing.improve([[i] for i in range(len(sizes))], sizes, 100)
+    assert sorted(i for b in found for i in b) == list(range(len(sizes)))
+    assert all(sizes[b].sum() <= 100 for b in found)
+    assert len(found) == -(-sizes.sum() // 100) or not a_step_is_left(found, sizes, 100)
+
+
 def test_packed_rows(spark, odd_docs, no_docs):
     found = packing.pack_documents(odd_docs).collect()
     texts = [(r.doc_id, r.text or "") for r in odd_docs.select("doc_id", "text").collect()]
