@@ -218,3 +218,29 @@ def test_longest_grams_are_those_of_a_loop():
             wanted[gram] = wanted.get(gram, 0) + n
     grams, n = rules.longest_grams(own, counts, 4)
     assert len(set(grams)) == len(grams) and dict(zip(grams, n)) == wanted
+
+
+def test_grams_beyond_the_bound_are_scored_exactly(spark, odd_docs):
+    r = random.Random(18)
+    vocabulary = words(r, 80).split()
+    rows = [(i, " ".join(r.choices(vocabulary, k=60)), "en" if i % 3 else None) for i in range(20)]
+    rows += [(100 + i, rows[0][1], rows[0][2]) for i in range(5)]
+    docs = odd_docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    model, reference = rules.fit(docs), rules.fit(docs.where("doc_id < 10"))
+    small = [rules.fit(x, slot_bits=4) for x in (docs, docs.where("doc_id < 10"))]
+    assert small[0]["partial"]["grams"] and not model["partial"]["grams"]
+
+    def scores(*models):
+        found = rules.score(docs, models[0], reference=models[1]).drop("text").collect()
+        return sorted((tuple(x) for x in found), key=lambda x: (str(x[0]), str(x[1]), x[2], x[3]))
+
+    whole, bounded = scores(model, reference), scores(*small)
+    assert [x[:-2] for x in whole] == [x[:-2] for x in bounded]
+    for a, b in zip(whole, bounded):
+        assert all((x is None and y is None) or abs(x - y) < 1e-9 for x, y in zip(a[-2:], b[-2:]))
+    own = docs.where("lang = 'en' and (doc_id < 20 or doc_id >= 100) and length(text) between 200 and 2000 and doc_id > 13")
+    p = brute_model([x.text for x in own.collect()], 4)
+    found = rules.judge(own, slot_bits=4).select("doc_id", "log_perplexity").collect()
+    assert len(found) > 3
+    assert all(abs(x.log_perplexity - brute_log_perplexity(dict(r[:2] for r in rows)[x.doc_id], p, 4)) < 1e-9 for x in found)
