@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lossgrain.llm.common import disjoint, fresh
+from lossgrain.llm.common import disjoint, fresh, hand_back
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -517,6 +517,7 @@ def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
             columns = [batch.column(i) for i in range(batch.num_columns)]
             columns[place] = pa.array(values, batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names)
+        hand_back()
 
     return docs.mapInArrow(replaced, schema).toDF(*docs.columns)
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lossgrain.llm.common import pin
+from lossgrain.llm.common import hand_back, pin
 
 PIECE_SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
@@ -83,6 +83,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", longest:
                     start, stop, piece = stop, stop + longest, piece + 1
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        hand_back()
 
     return docs.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(cut, PIECE_SCHEMA)
 

@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lossgrain.llm.common import attach, fresh, pin
+from lossgrain.llm.common import attach, fresh, hand_back, pin
 from lossgrain.llm.components import components
 
 
@@ -136,6 +136,8 @@ def _facts(rows: DataFrame, words: int, slot_bits: int) -> DataFrame:
             slots = used[at:at + 100_000]
             none = [None] * len(slots)
             yield batch_of((none, none, none, slots.astype(np.int32), amounts[slots], none))
+        del memory, seen, amounts, used
+        hand_back()
 
     return pin(rows.mapInArrow(measured, schema))
 
@@ -169,6 +171,7 @@ def _prefix_rows(rows: DataFrame, words: int, percent: int, amounts, slot_bits:
                 tokens, owners, held = [], [], 0
         if held:
             yield batch_of()
+        hand_back()
 
     return rows.mapInArrow(prefixes, schema)
 

@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 
 import __spark_entry__
 import corpus_pipeline
@@ -48,3 +51,24 @@ def test_empty_table(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_worker_hands_its_freed_memory_back():
+    """In a process of its own, as the allocator's state counts: freed pieces below pieces that stay."""
+    code = """
+import numpy as np
+from lossgrain.llm.common import hand_back
+def resident():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096
+pieces = [np.ones(8000) for _ in range(4000)]
+kept, full = pieces[-1], resident()
+del pieces
+freed = resident()
+hand_back()
+print(full - freed, full - resident())
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    before, after = map(int, out.stdout.split())
+    assert after > 200_000_000 > before
