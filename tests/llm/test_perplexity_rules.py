@@ -244,3 +244,32 @@ def test_grams_beyond_the_bound_are_scored_exactly(spark, odd_docs):
     found = rules.judge(own, slot_bits=4).select("doc_id", "log_perplexity").collect()
     assert len(found) > 3
     assert all(abs(x.log_perplexity - brute_log_perplexity(dict(r[:2] for r in rows)[x.doc_id], p, 4)) < 1e-9 for x in found)
+
+
+def test_every_label_counts_in_the_limits(spark):
+    r = random.Random(19)
+    rows = [(i, "en" if i % 7 else "de", i * 7919, i % 2 == 1, 60 + i, False, r.choice((1.5, 2.0)) + r.random(), 1) for i in range(900)]
+    rows += [(900 + i, "en", 1_000_000 + i, i % 2 == 1, 90, False, 4 + 3 * r.random() - (i % 9 == 0) * 2, 0) for i in range(40)]
+    narrow = spark.createDataFrame([(a, b, c, f, x, n) for a, b, c, _, n, f, x, _ in rows],
+                                   "doc_id bigint, lang string, digest bigint, base_failed boolean, "
+                                   "reference_log_perplexity double, n_words bigint").repartition(3)
+    labels = spark.createDataFrame([(x[0], x[-1]) for x in rows], "doc_id bigint, quality int")
+    found = rules.calibrate(narrow, labels)
+    for lang in ("en", "de"):
+        own = [x for x in rows if x[1] == lang]
+        held = np.array([x[6] for x in own if x[-1] == 1 and x[2] % 2])
+        middle = np.median(held)
+        away = lambda x: (x[6] - middle) / math.sqrt(1 + rules.SHORT_WORDS / x[4])
+        wanted = [middle]
+        for side in (-1, 1):
+            clean = sorted(max(side * away(x), 0) for x in own if x[-1] == 1)
+            inner = sorted(max(side * away(x), 0) for x in own if x[-1] == 1 and x[2] % 2)
+            junk = sorted(side * away(x) for x in own if x[-1] == 0 and side * away(x) > 0)
+            if not junk:
+                wanted.append(max(8 * 1.4826 * np.median(abs(held - middle)), np.quantile(clean, 0.995, method="higher")))
+                continue
+            places = sorted({0.0, *inner, *junk})
+            cost = [sum(h > p for h in inner) / len(inner) + sum(j <= p for j in junk) / len(junk) for p in places]
+            at = cost.index(min(cost))
+            wanted.append((places[at] + places[at + 1]) / 2 if at + 1 < len(places) else places[at])
+        assert np.allclose(found[lang], wanted, rtol=1e-12)
