@@ -119,15 +119,12 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: in
 def occurrences(parts: DataFrame) -> DataFrame:
     """The chunks of a stored table that are there twice, with the place of the first one."""
     digest = ["digest_a", "digest_b"]
+    # Place and word of a first occurrence as one struct, so that the chunks meet once to be counted and told.
     shared = pin(parts.groupBy(*digest).agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc_id")).where("n > 1"))
-    found = pin(attach(parts, shared, digest, "n").where(F.col("n").isNotNull()))
-    # Only chunks of first documents are told by text and place too.
-    firsts = pin(found.where("doc_id = first_doc_id").groupBy(*digest).agg(
-        F.min(F.struct("text_key", "start", "word_at")).alias("f"), F.first("n").alias("n")).select(
-            *digest, "n", F.col("f.text_key").alias("first_key"), F.col("f.start").alias("first_start"),
-            F.col("f.word_at").alias("first_word")))
-    return attach(found.drop("n"), firsts, digest, "n").withColumn(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_key", "start", "word_at")).alias("f")).where(
+            "n > 1").select(*digest, "n", F.col("f.doc_id").alias("first_doc_id"), F.col("f.text_key").alias("first_key"),
+                            F.col("f.start").alias("first_start"), F.col("f.word_at").alias("first_word")))
+    return attach(parts, shared, digest, "n", "inner").drop("n", *digest).withColumn(
         "stays", F.expr("doc_id = first_doc_id and text_key = first_key and start = first_start"))
 
 

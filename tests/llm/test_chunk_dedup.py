@@ -115,3 +115,22 @@ def test_texts_under_one_id_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     left = chunk_dedup.without_repeats(docs, chunk_dedup.repeats(docs)).collect()
     assert other in {x.text for x in left} and rows[1][1] not in {x.text for x in left}
+
+
+def test_only_repeated_chunks_come_out_of_the_join(spark):
+    """No plan keeps the chunks that are there once, and the first occurrences are those of a loop."""
+    r = random.Random(21)
+    schema = chunk_dedup.CHUNK_SCHEMA
+    rows = [(r.randint(0, 40), r.randint(0, 2), i, 45, i, 8, r.randint(0, 300), 7) for i in range(600)]
+    rows += [(i % 50, 5, 1000 + i, 45, i, 8, -1, -1) for i in range(3000)]
+    parts = chunk_dedup.pin(spark.createDataFrame(rows, schema).repartition(3))
+    out = chunk_dedup.occurrences(parts)
+    assert "LeftOuter" not in out._jdf.queryExecution().executedPlan().toString()
+    by_digest = {}
+    for x in rows:
+        by_digest.setdefault(x[6:], []).append(x)
+    wanted = sorted((*x[:6], *min(same)[:3], min(same)[4], x[:3] == min(same)[:3])
+                    for same in by_digest.values() if len(same) > 1 for x in same)
+    assert sorted(map(tuple, out.select(
+        "doc_id", "text_key", "start", "chars", "word_at", "words", "first_doc_id", "first_key", "first_start",
+        "first_word", "stays").collect())) == wanted
