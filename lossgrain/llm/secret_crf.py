@@ -1,21 +1,21 @@
 """Secrets by a linear-chain conditional random field.
 
-Rules find the plain forms (the base spans). The field tags the tokens of
-suspicious stretches as begin, inside or outside of a secret by their shape,
-the words around them and features of the whole text, and Viterbi decoding
-picks the best tags. Base spans always stay; a tagged span is added where it
-overlaps none of them, as ``access`` or ``hex`` if it looks like one, else as
-``assign``.
-
-The weights are fitted by conditional likelihood on at most ``bound``
-stretches of a hash sample of the documents, labelled by the rules, and on
-stretches written by rule (other key words, other forms, and long tokens that
-are no secrets).
-
-A suspicious place is widened by ``AROUND`` characters on either side and on
-to the next token borders. Stretches that meet are one, so every token is
-tagged once, whether or not the text has white space; its features are scored
-and dropped in blocks, and only its tag pointers are held.
+Rules find the plain forms (the base spans). The field tags all tokens of a
+text as begin, inside or outside of a secret by their shape, the words around
+them and features of the whole text, and Viterbi decoding picks the best
+tags. Base spans always stay; a tagged span is added where it overlaps none
+of them, as ``access`` or ``hex`` if it looks like one, else as ``assign``.
+
+The weights are fitted by conditional likelihood on stretches of a hash
+sample of the documents, labelled by the rules (at most ``bound`` around
+suspicious places, and as many from any place), and on stretches written by
+rule (other key words, other forms, and long tokens that are no secrets).
+
+Every token of the text is scored, in blocks that end on token borders. Most
+are outside on any best path: changing their tag to outside (and an inside
+behind it to begin) gains whatever the tags around them are. Those cut the
+text into runs, and only the runs are decoded, which gives the tags of the
+best path through the whole text.
 
 Defined results: null and empty texts have no spans; a very long text is
 read whole, in linear time; of tag paths that score alike the one with the
@@ -30,6 +30,8 @@ import random
 import re
 from bisect import bisect_left
 from functools import lru_cache
+from itertools import islice
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ KINDS = ("assign", "access", "hex")
 TAGS = ("O", "B", "I")
 OUT, BEGIN, INSIDE = range(3)
 AROUND = 80  # characters of context on either side of a suspicious token
-BLOCK = 4096  # tokens whose features are held at once
+BLOCK = 16_384  # characters whose tokens are scored at once
 
 # The base patterns.
 _ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]+)""")
@@ -52,22 +54,22 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+|[^\sA-Za-z0-9]")
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]")
 _RUN_END = re.compile(r"[A-Za-z0-9+/_.=-]*+")
+_DIGIT, _NUMBER = re.compile("[0-9]"), re.compile(r"[0-9.,-]+")
+_HEX_ONLY, _NO_LETTERS = re.compile(r"[0-9a-f]+"), re.compile(r"[^a-z]+")
 #: A long unbroken token with a digit, or a word that names a secret before a sign and a value.
 _SUSPICIOUS = re.compile(
     r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}"
     r"|(?ai:pass(?:word|wd|phrase)?|secret|token|key|credential|bearer|auth)[\w\"' ]{0,12}[:=]")
 
 
-#: What every match of the patterns above contains, in lower case.
-_KEYS = ("pass", "secret", "token", "key", "credential", "bearer", "auth")
+#: What every match of ``_ASSIGN`` contains, in lower case.
+_KEYS = ("pass", "secret", "token", "key")
 
 
 def has_trigger(text: str) -> bool:
-    """False only if neither a base pattern nor the suspicious one can match."""
+    """False only if no base pattern can match."""
     low = text.lower()
-    return any(k in low for k in _KEYS) or any(
-        len(w) >= 16 and re.search("[0-9]", w) for w in text.split()) or any(
-        len(w) >= 32 for w in low.split()) or "akia" in low
+    return any(k in low for k in _KEYS) or any(len(w) >= 32 for w in low.split()) or "akia" in low
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -106,9 +108,10 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _bits(part: str) -> float:
-    n = len(part)
-    return -sum(c / n * math.log2(c / n) for c in map(part.count, set(part)))
+@lru_cache(maxsize=4096)
+def _bits(counts: tuple[int, ...]) -> float:
+    n = sum(counts)
+    return -sum(c / n * math.log2(c / n) for c in counts)
 
 
 def file_features(text: str) -> list[str]:
@@ -123,19 +126,19 @@ def file_features(text: str) -> list[str]:
 def _shape(part: str) -> list[str]:
     n = len(part)
     lower, upper = part.lower() != part, part.upper() != part
-    digit = any("0" <= c <= "9" for c in part)
-    changes = sum((a.isdigit() != b.isdigit()) for a, b in zip(part, part[1:]))
-    kind = ("hex" if n >= 8 and digit and re.fullmatch(r"[0-9a-f]+", part) else
-            "akia" if part.startswith("AKIA") else "number" if re.fullmatch(r"[0-9.,-]+", part) else
+    digit = _DIGIT.search(part) is not None
+    changes = sum((a.isdigit() != b.isdigit()) for a, b in zip(part, part[1:])) if digit else 0
+    kind = ("hex" if n >= 8 and digit and _HEX_ONLY.fullmatch(part) else
+            "akia" if part.startswith("AKIA") else "number" if _NUMBER.fullmatch(part) else
             "sign" if n == 1 and not part.isalnum() else "other")
     return [f"length={min(n, 40) // 4}", f"kind={kind}", f"case={lower}{upper}{digit}",
-            f"bits={int(_bits(part) * 2)}", f"changes={min(changes, 10)}",
+            f"bits={int(_bits(tuple(sorted(map(part.count, set(part))))) * 2)}", f"changes={min(changes, 10)}",
             f"path={part.count('/') + part.count('.') > 1}", f"head={part[:4].lower() if n >= 16 else ''}"]
 
 
 @lru_cache(maxsize=4096)
 def _low(word: str) -> str:
-    return "#" if re.search("[0-9]", word) else re.sub(r"[^a-z]+", "", word.lower())[:12]
+    return "#" if _DIGIT.search(word) else _NO_LETTERS.sub("", word.lower())[:12]
 
 
 def token_rows(words: list[str], first: int, last: int, whole: list[str]) -> list[list[str]]:
@@ -312,29 +315,151 @@ def fit_chain(samples: list[tuple[str, list]], rounds: int = 10, rate: float = 0
     return chain
 
 
-def find(text: str, chain: Chain) -> tuple[list, list]:
+class _Words(dict):
+    """Word to its row in the arrays of a reader."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, word):
+        row = self[word] = len(self)
+        self.add(row, word)
+        return row
+
+
+class Reader:
+    """Scores all tokens of texts by a chain.
+
+    What a word adds by itself is worked out once and remembered, up to
+    ``held`` words or ``20 * held`` characters of them, and those of a block.
+    """
+
+    def __init__(self, chain: Chain, held: int = 200_000):
+        self.chain, self.held = chain, held
+        weights = np.vstack([chain.emit, np.zeros((1, 3))])  # the last row: a feature without a weight
+        beside, both = {}, {}
+        for name, at in chain.index.items():
+            if name[:3] in ("-3=", "-2=", "-1=", "+1="):
+                beside[name[:3], name[3:]] = at
+            elif m := re.fullmatch(r"(length=\d+,bits=\d+),-1=(.*)", name, re.DOTALL):
+                both[m.groups()] = at
+        self.sides = {v: i for i, v in enumerate(sorted({v for _, v in [*beside, *both]} | {"|"}))}
+        self.forms = {v: i for i, v in enumerate(sorted({f for f, _ in both}))}
+        sides, forms, none = len(self.sides) + 1, len(self.forms) + 1, len(weights) - 1  # the last of each: unknown
+        self.beside = {d: weights[[beside.get((d, v), none) for v in self.sides] + [none]]
+                       for d in ("-3=", "-2=", "-1=", "+1=")}
+        self.both = np.full((forms, sides), none)
+        for (form, side), at in both.items():
+            self.both[self.forms[form], self.sides[side]] = at
+        self.weights, room = weights, held + BLOCK
+        self.own, self.side, self.form = np.zeros((room, 3)), np.zeros(room, np.int32), np.zeros(room, np.int32)
+        self.words, self.chars, self.shapes = _Words(self._add), 0, {}
+        pairs = chain.pairs
+        self.alone, self.cut = [], []
+        for y, before in ((BEGIN, (OUT, BEGIN, INSIDE)), (INSIDE, (BEGIN, INSIDE))):
+            left = min([0.0, *(pairs[a, OUT] - pairs[a, y] for a in before)])
+            self.alone.append(left + min([0.0, *(pairs[OUT, c] - pairs[y, c] for c in (OUT, BEGIN))]))
+            self.cut.append(left + pairs[OUT, BEGIN] - pairs[y, INSIDE] + min(0.0, *(pairs[BEGIN] - pairs[INSIDE])))
+
+    def _weight(self, names: list[str]) -> np.ndarray:
+        return self.weights[[self.chain.index.get(f, -1) for f in names]].sum(axis=0)
+
+    def _add(self, row: int, word: str) -> None:
+        shape, low = _shape(word), _low(word)
+        names = tuple(shape)
+        if (known := self.shapes.get(names)) is None:
+            known = self._weight(["bias", *shape, f"{shape[1]},{shape[0]}"])
+            if len(self.shapes) < self.held:
+                self.shapes[names] = known
+        self.own[row] = known + self.weights[self.chain.index.get(f"key={low}", -1)]
+        self.side[row] = self.sides.get(low or word[:2], len(self.sides))
+        self.form[row] = self.forms.get(f"{shape[0]},{shape[3]}", len(self.forms))
+        self.chars += len(word)
+
+    def blocks(self, text: str):
+        """``start, end, scores`` of blocks that have all tokens of the text."""
+        whole, bar = self._weight(file_features(text)), self.sides["|"]
+        before, held, at = np.full(3, bar, np.int32), None, 0
+        while at < len(text):
+            start, at = at, min(at + BLOCK, len(text))
+            if _RUN.match(text, at - 1):
+                at = _RUN_END.match(text, at).end()
+            words = _TOKEN.findall(text, start, at)
+            if not words:
+                continue
+            if len(self.words) > self.held or self.chars > 20 * self.held:
+                self.words.clear()
+                self.chars = 0
+            n = len(words)
+            rows = np.fromiter(map(self.words.__getitem__, words), np.int64, n)
+            side = np.concatenate([before, self.side[rows]])
+            scores = self.own[rows] + whole
+            for d, first in (("-3=", 0), ("-2=", 1), ("-1=", 2)):
+                scores += self.beside[d].take(side[first:first + n], axis=0)
+            scores += self.weights.take(self.both[self.form[rows], side[2:2 + n]], axis=0)
+            scores[:-1] += self.beside["+1="].take(side[4:], axis=0)
+            if held:
+                held[2][-1] += self.beside["+1="][side[3]]
+                yield held
+            held, before = (start, at, scores), side[-3:]
+        if held:
+            held[2][-1] += self.beside["+1="][bar]
+            yield held
+
+    def outside(self, scores: np.ndarray, after: np.ndarray | None) -> np.ndarray:
+        """Which tokens are outside on every best path; ``after`` has the scores of the next token."""
+        begin_or_inside = scores[:, BEGIN] - scores[:, INSIDE]
+        following = np.append(begin_or_inside[1:], np.inf if after is None else after[BEGIN] - after[INSIDE])
+        out = np.ones(len(scores), bool)
+        for y, alone, cut in zip((BEGIN, INSIDE), self.alone, self.cut):
+            out &= np.minimum(alone, cut + following) - (scores[:, y] - scores[:, OUT]) > 1e-6
+        return out
+
+    def runs(self, text: str):
+        """Tokens that may not be outside, with the one before and after: lists of ``block, first, last``."""
+        blocks, run, previous = self.blocks(text), [], None
+        block = next(blocks, None)
+        while block:
+            following = next(blocks, None)
+            out = self.outside(block[2], following[2][0] if following else None)
+            n = len(out)
+            if run and out[0]:
+                yield [*run, (block, 0, 1)]
+                run = []
+            elif previous and not run and not out[0]:
+                run = [(previous, len(previous[2]) - 1, len(previous[2]))]
+            borders = np.flatnonzero(np.diff(np.concatenate([[True], out, [True]]))).tolist()
+            for first, last in zip(borders[::2], borders[1::2]):
+                run.append((block, max(first - 1, 0), min(last + 1, n)))
+                if last < n or not following:
+                    yield run
+                    run = []
+            block, previous = following, block
+
+
+def find(text: str, chain: Chain, reader: Reader | None = None) -> tuple[list, list]:
     """Base spans, and all spans: (start, end, kind) by start and kind."""
-    if not has_trigger(text):
-        return [], []
-    base, added, whole = base_spans(text), [], None
+    base, added = base_spans(text), []
     starts, ends = disjoint(base)
-    for start, end in stretches(text):
-        whole = whole or file_features(text)
-        places = np.fromiter((x for m in _TOKEN.finditer(text, start, end) for x in m.span()), np.int64)
-        places = places.reshape(-1, 2)
-        words = [text[a:b] for a, b in places.tolist()]
-        tags = chain.best_tags(
-            chain.scores(chain.numbers(token_rows(words, t, min(t + BLOCK, len(words)), whole), False))
-            for t in range(0, len(words), BLOCK))
+    at, tokens = None, []
+    for run in (reader or Reader(chain)).runs(text):
+        tags = chain.best_tags(scores[first:last] for (_, _, scores), first, last in run)
+        if BEGIN not in tags:
+            continue
+        places = []
+        for (start, end, _), first, last in run:
+            if start != at:
+                at, tokens = start, [m.span() for m in _TOKEN.finditer(text, start, end)]
+            places += tokens[first:last]
         t = 0
         while t < len(tags):
             if tags[t] != BEGIN:
                 t += 1
                 continue
-            a, b = places[t].tolist()
+            a, b = places[t]
             t += 1
             while t < len(tags) and tags[t] == INSIDE:
-                b = int(places[t, 1])
+                b = places[t][1]
                 t += 1
             after = bisect_left(starts, b)  # the first base span from b on
             if b - a >= 8 and not (after and ends[after - 1] > a):
@@ -345,8 +470,17 @@ def find(text: str, chain: Chain) -> tuple[list, list]:
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def any_stretch(text: str) -> tuple[int, int]:
+    """A stretch of about ``2 * AROUND`` characters, ending on token borders, at a place told by the text's hash."""
+    a = crc32(text.encode("utf-8", "replace")) % max(len(text) - 2 * AROUND + 1, 1)
+    b = min(a + 2 * AROUND, len(text))
+    if a and _RUN.match(text, a - 1):
+        a = _RUN_END.match(text, a).end()
+    return a, _RUN_END.match(text, max(a, b)).end() if _RUN.match(text, b - 1) else max(a, b)
+
+
 def sample_stretches(docs: DataFrame, doc_id: str, text: str, bound: int) -> list[tuple[str, list]]:
-    """At most ``bound`` stretches from about 20 x ``bound`` documents chosen by hash."""
+    """At most ``bound`` suspicious stretches and ``bound`` others, from about 20 x ``bound`` documents chosen by hash."""
     total = docs.count()
     share = min(1.0, 20.0 * bound / max(total, 1))
     chosen = docs.where(F.pmod(F.xxhash64(doc_id), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select(
@@ -354,13 +488,15 @@ def sample_stretches(docs: DataFrame, doc_id: str, text: str, bound: int) -> lis
 
     def parts(batches):
         for batch in batches:
-            out = [one[a:b] for one in batch.column(0).to_pylist() if one
-                   for a, b in stretches(one) if b - a <= 2000]
+            out = [(near, one[a:b]) for one in batch.column(0).to_pylist() if one
+                   for near, places in ((True, stretches(one)), (False, [any_stretch(one)]))
+                   for a, b in places if 0 < b - a <= 2000]
             if out:
-                yield pa.record_batch([pa.array(out, pa.string())], ["part"])
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), [pa.bool_(), pa.string()])], ["near", "part"])
 
-    found = chosen.mapInArrow(parts, "part string").distinct().orderBy(F.xxhash64("part"), "part").limit(bound)
-    return [(r.part, value_spans(r.part)) for r in found.collect()]
+    found = chosen.mapInArrow(parts, "near boolean, part string").distinct()
+    return [(r.part, value_spans(r.part)) for near in (True, False) for r in found.where(F.col("near") == near).orderBy(
+        F.xxhash64("part"), "part").limit(bound).collect()]
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bound: int = 400) -> Chain:
@@ -377,10 +513,11 @@ def detect(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "t
 
     def searched(batches):
         model = shared.value
+        reader = Reader(model)
         for batch in batches:
             base, spans = [], []
             for value in batch.column(1):
-                pair = find(value.as_py() or "", model)
+                pair = find(value.as_py() or "", model, reader)
                 base.append(joined(pair[0]))
                 spans.append(joined(pair[1]))
             yield pa.RecordBatch.from_arrays(

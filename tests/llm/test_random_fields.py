@@ -200,3 +200,32 @@ def test_secrets_in_long_texts_without_white_space():
 
 def test_a_secret_with_a_long_head_before_its_first_digit():
     assert secret_crf.stretches("x " + "a" * 900 + "1 y") == [(0, 905)]
+
+
+def test_secrets_without_a_suspicious_place_are_found():
+    chain = secret_crf.fit_chain(secret_crf.written_stretches(600))
+    value = "ZkQ7xW2pL9.bT4vR8nJ1.cY6mH3sD5"
+    for text in (f"client_secret is {value} here", f"word ghp_{value}", "plain words " * 3000 + f"signing_key is {value}"):
+        assert secret_crf.stretches(text) == [] and secret_crf.base_spans(text) == []
+        assert [text[a:b] for a, b, _ in secret_crf.find(text, chain)[1]] in ([value], [f"ghp_{value}"])
+
+
+def test_all_tokens_get_the_tags_of_the_best_path(monkeypatch):
+    import random
+    r = random.Random(5)
+    chain = secret_crf.fit_chain(secret_crf.written_stretches(150), rounds=2)
+    texts = [" ".join(t for t, _ in secret_crf.written_stretches(6, seed=i)) for i in range(40)]
+    texts += ["".join(r.choice(PIECES) for _ in range(r.randint(0, 60))) for _ in range(200)] + [" " * 900 + "a" * 900 + "\n= x"]
+    for block, held in ((secret_crf.BLOCK, 200_000), (7, 3), (50, 40)):
+        monkeypatch.setattr(secret_crf, "BLOCK", block)
+        reader = secret_crf.Reader(chain, held=held)
+        for text in texts:
+            tokens, rows = secret_crf.features(text, 0, len(text), secret_crf.file_features(text))
+            wanted = [(p, y) for p, y in zip(tokens, chain.viterbi(chain.numbers(rows, False))) if y]
+            found = []
+            for run in reader.runs(text):
+                places = [m.span() for (a, b, _), first, last in run
+                          for m in list(secret_crf._TOKEN.finditer(text, a, b))[first:last]]
+                tags = chain.best_tags(scores[first:last] for (_, _, scores), first, last in run)
+                found += [(p, y) for p, y in zip(places, tags) if y]
+            assert found == wanted
