@@ -532,15 +532,45 @@ def bands(scored: DataFrame, below: float = 8.0, above: float = 8.0, least_width
 def reference_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang",
                     text: str = "text", quality: str = "quality", slot_bits: int = 20) -> dict | None:
     """The model of one half of all texts labelled clean, by their digest."""
-    clean = _known(labels, doc_id, quality).where("good = 1")
-    train = docs.select(
-        F.col(doc_id).alias("k"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
-        F.col(text).alias("text")).where(F.col("text").isNotNull() & _in_fit(text_digest("text"))).join(
-            clean, "k", "leftsemi")
-    reference = fit(train, slot_bits=slot_bits)
+    rows = docs.select(
+        F.col(doc_id).alias("k"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.col(text).alias("text"))
+    known = _known(labels, doc_id, quality)
+    kind = rows.select("k").union(known.select("k")).schema["k"].dataType
+    alone, mixed = with_ids(
+        rows.withColumn("k", F.col("k").cast(kind)), known.where("good = 1").select(F.col("k").cast(kind)),
+        F.col("text").isNotNull() & _in_fit(text_digest("text")))
+    reference = fit(alone.unionByName(mixed), slot_bits=slot_bits)
     return reference if len(reference["grams"][0][0]) else None
 
 
+def with_ids(rows: DataFrame, ids: DataFrame, wanted, slots: int = 1 << 26) -> tuple[DataFrame, DataFrame]:
+    """The ``wanted`` ones of ``rows`` whose ``k`` is among the different ``ids``, in two parts; only the second is shuffled.
+
+    Two bitmaps of hash slots, of ``slots`` bits each, are what is broadcast:
+    slots of the ids, and slots of other ids of ``rows``. A row whose slot
+    is in the first only needs no join; rows whose slot is in both are joined.
+    """
+    slot, size = F.pmod(F.xxhash64("k"), F.lit(slots)), 1 << 15  # bits of a bitmap of Spark
+    bucket, at = F.floor(slot / size).cast("int"), F.pmod(slot, F.lit(size))
+
+    def bitmaps(keys: DataFrame, name: str) -> DataFrame:
+        return keys.select(bucket.alias("bucket"), at.alias("at")).repartition("bucket").groupBy("bucket").agg(
+            F.bitmap_construct_agg("at").alias(name))
+
+    def bit(name: str):
+        byte = F.conv(F.hex(F.substring(name, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1, F.lit(False))
+
+    ids = pin(ids)
+    others = rows.select("k").where(F.col("k").isNotNull()).distinct().join(ids, "k", "left_anti")
+    maps = pin(bitmaps(ids, "own").join(bitmaps(others, "foreign"), "bucket", "left"))
+    near = rows.where(wanted & F.col("k").isNotNull()).withColumn("bucket", bucket).join(
+        F.broadcast(maps), "bucket").where(bit("own")).select(*rows.columns, bit("foreign").alias("is_mixed"))
+    # Stored, as Spark would move the join with the ids below the one with the bitmaps, and shuffle all rows.
+    mixed = pin(near.where("is_mixed").drop("is_mixed"))
+    return near.where(~F.col("is_mixed")).drop("is_mixed"), mixed.join(ids, "k", "left_semi")
+
+
 def _known(labels: DataFrame, doc_id: str, quality: str) -> DataFrame:
     return labels.where(F.col(quality).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("k")).agg(F.min(quality).alias("good"))

@@ -273,3 +273,15 @@ def test_every_label_counts_in_the_limits(spark):
             at = cost.index(min(cost))
             wanted.append((places[at] + places[at + 1]) / 2 if at + 1 < len(places) else places[at])
         assert np.allclose(found[lang], wanted, rtol=1e-12)
+
+
+def test_only_texts_in_shared_slots_are_shuffled_to_their_labels(spark):
+    rows = spark.createDataFrame([(i % 900 if i % 50 else None, f"text {i}") for i in range(1000)], "k bigint, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in range(0, 2000, 3)], "k bigint")
+    wanted = F.col("text") != "text 6"
+    plain = sorted(tuple(x) for x in rows.where(wanted).join(ids, "k", "left_semi").collect())
+    for slots, apart in ((1 << 26, True), (1 << 15, None), (256, False), (1, False)):
+        alone, mixed = rules.with_ids(rows, ids, wanted, slots=slots)
+        assert sorted(tuple(x) for x in alone.unionByName(mixed).collect()) == plain
+        assert apart is None or (mixed.count() == 0) == apart
+    assert [x.count() for x in rules.with_ids(rows, ids.where("k < 0"), wanted)] == [0, 0]
