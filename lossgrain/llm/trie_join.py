@@ -54,7 +54,7 @@ class _WordHashes(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -72,3 +72,20 @@ print(full - freed, full - resident())
                          cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     before, after = map(int, out.stdout.split())
     assert after > 200_000_000 > before
+
+
+def test_long_texts_go_to_workers_in_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    @corpus_pipeline.in_small_batches
+    def stage(spark, docs, sf_dir):
+        return docs.mapInArrow(sizes, "n bigint")
+
+    docs = spark.range(8000, numPartitions=1).selectExpr("repeat('x', 4000) as text")
+    found = [x.n for x in stage(spark, docs, "").collect()]
+    assert sum(found) > 32_000_000 and max(found) < 6_000_000
+    assert all(hasattr(f, "__wrapped__") for _, f in corpus_pipeline.STAGES)
