@@ -29,6 +29,10 @@ class Leaf:
     high: np.ndarray
     share: np.ndarray
 
+    def inside(self, x: np.ndarray) -> np.ndarray:
+        """Where rows (rows x features of the path) are inside."""
+        return (x > self.low) & (x <= self.high)
+
     def parts(self, inside: np.ndarray) -> np.ndarray:
         """Shapley values of the leaf's value for rows (patterns x features of the path) of 0 and 1."""
         m = len(self.features)
@@ -85,17 +89,85 @@ def tree_baseline(leaves: list[Leaf]) -> float:
     return float(sum(leaf.value * leaf.share.prod() for leaf in leaves))
 
 
-def attribution_matrix(leaves: list[Leaf], x: np.ndarray) -> np.ndarray:
-    """Parts (rows x features) of standardised features ``x``."""
-    out = np.zeros(x.shape)
-    for leaf in leaves:
-        if not len(leaf.features):
-            continue
-        own = x[:, leaf.features]
-        inside = (own > leaf.low) & (own <= leaf.high)
-        patterns, which = np.unique(inside, axis=0, return_inverse=True)
-        out[:, leaf.features] += leaf.parts(patterns.astype(float))[which.reshape(-1)]
-    return out
+#: Cells that one table of parts has at most.
+CELLS = 4096
+
+
+class PartsTable:
+    """The parts of some leaves for every cell between their thresholds, and where a row's cell is found.
+
+    ``limits`` has the thresholds of all leaves by feature; a row is known by
+    its place among them. The cells of these leaves only are the table's.
+    """
+
+    def __init__(self, leaves: list[Leaf], own: dict[int, np.ndarray], limits: dict[int, np.ndarray]):
+        self.features = sorted(own)
+        ends = [np.append(own[f], np.inf) for f in self.features]  # the interval of a cell ends at its end
+        shape = tuple(map(len, ends))
+        at = np.unravel_index(np.arange(math.prod(shape)), shape)
+        x = np.stack([e[i] for e, i in zip(ends, at)], axis=1)
+        self.parts = np.zeros((len(self.features), len(x)))
+        for leaf in leaves:
+            places = np.searchsorted(self.features, leaf.features)
+            self.parts[places] += leaf.parts(leaf.inside(x[:, places]).astype(float)).T
+        steps = [math.prod(shape[i + 1:]) for i in range(len(shape))]
+        self.steps = [np.searchsorted(own[f], np.append(limits[f], np.inf)) * step for f, step in zip(self.features, steps)]
+
+    def add(self, out: np.ndarray, places: dict[int, np.ndarray]) -> None:
+        """Add the parts (features x rows) of rows with these places."""
+        cell = sum(step.take(places[f]) for f, step in zip(self.features, self.steps))
+        for f, parts in zip(self.features, self.parts):
+            out[f] += parts.take(cell)
+
+
+class Attributor:
+    """The leaves as tables of at most ``cells`` cells, made once; a row then takes one look into each.
+
+    Leaves are taken together as they come, so a table mostly holds a tree. A
+    leaf that alone has more cells is worked out for the patterns of the rows.
+    """
+
+    def __init__(self, leaves: list[Leaf], cells: int = CELLS):
+        leaves = [leaf for leaf in leaves if len(leaf.features)]
+        self.limits = self._thresholds(leaves)
+        self.tables, self.wide, open_ = [], [], []
+        for leaf in leaves:
+            if self._cells([leaf]) > cells:
+                self.wide.append(leaf)
+                continue
+            if open_ and self._cells([*open_, leaf]) > cells:
+                self.tables.append(PartsTable(open_, self._thresholds(open_), self.limits))
+                open_ = []
+            open_.append(leaf)
+        if open_:
+            self.tables.append(PartsTable(open_, self._thresholds(open_), self.limits))
+
+    @staticmethod
+    def _thresholds(leaves: list[Leaf]) -> dict[int, np.ndarray]:
+        found: dict[int, set[float]] = {}
+        for leaf in leaves:
+            for f, *ends in zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist()):
+                found.setdefault(f, set()).update(e for e in ends if math.isfinite(e))
+        return {f: np.array(sorted(ends)) for f, ends in found.items()}
+
+    def _cells(self, leaves: list[Leaf]) -> int:
+        return math.prod(len(ends) + 1 for ends in self._thresholds(leaves).values())
+
+    def parts(self, x: np.ndarray) -> np.ndarray:
+        """Parts (features x rows) of standardised, finite features ``x`` (features x rows)."""
+        out = np.zeros(x.shape)
+        places = {f: np.searchsorted(ends, x[f]) for f, ends in self.limits.items()}
+        for table in self.tables:
+            table.add(out, places)
+        for leaf in self.wide:
+            patterns, which = np.unique(leaf.inside(x[leaf.features].T), axis=0, return_inverse=True)
+            out[leaf.features] += leaf.parts(patterns.astype(float))[which.reshape(-1)].T
+        return out
+
+
+def attribution_matrix(leaves: list[Leaf], x: np.ndarray, cells: int = CELLS) -> np.ndarray:
+    """Parts (rows x features) of standardised, finite features ``x``."""
+    return Attributor(leaves, cells).parts(np.ascontiguousarray(x.T, float)).T
 
 
 def tree_attributions(df: DataFrame, model: FittedModel, leaves: list[Leaf], key: str = "loan_seq_num") -> DataFrame:
@@ -103,10 +175,12 @@ def tree_attributions(df: DataFrame, model: FittedModel, leaves: list[Leaf], key
 
     The value of a set of features is the mean over the paths that agree with
     the loan on these, weighted by training cover elsewhere. Parts are exact
-    sums over the leaves, worked out once per pattern of fulfilled splits. No
-    shuffle; what a task gets is the model, whose size does not grow with the
-    rows. A missing value counts as the training mean, as in scoring.
+    sums over the leaves, worked out once per cell between the thresholds of a
+    tree, so a loan costs a look into a table per tree. No shuffle; what a task
+    gets is the tables, whose size does not grow with the rows. A missing value
+    counts as the training mean, as in scoring.
     """
+    attributor = Attributor(leaves)
     names = list(model.features)
     rows = standardised(df.withColumn("_key", F.col(key)), names, model.scaler).select(
         "_key", *[f"_x_{c}" for c in names],
@@ -117,13 +191,11 @@ def tree_attributions(df: DataFrame, model: FittedModel, leaves: list[Leaf], key
     def explained(batches):
         n = len(names)
         for batch in batches:
-            x = np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False) for i in range(n)], axis=1)
-            parts = attribution_matrix(leaves, x)
-            many = np.arange(batch.num_rows)
+            x = np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False) for i in range(n)])
             values = pa.concat_arrays([batch.column(1 + n + i) for i in range(n)])
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(np.tile(many, n))),
-                pa.array(np.repeat(np.array(names, object), batch.num_rows), pa.string()),
-                values, pa.array(parts.T.reshape(-1))], names=schema.names)
+                pa.concat_arrays([batch.column(0)] * n),
+                pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(n), batch.num_rows))),
+                values, pa.array(attributor.parts(x).reshape(-1))], names=schema.names)
 
     return rows.mapInArrow(explained, schema)

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -321,3 +322,58 @@ def test_tree_attributions_of_stumps_and_no_rows(spark, data):
     assert {r.attribution for r in tr.tree_attributions(flat, model, leaves).collect()} == {0.0}
     assert tr.tree_baseline(leaves) == pytest.approx(0.5)
     assert tr.tree_attributions(flat.limit(0), model, leaves).count() == 0
+
+
+def grown_leaves(rng, trees, depth, limits):
+    """Leaves of random trees that split at ``limits`` (features x thresholds)."""
+    out = []
+
+    def grow(left, path):
+        f = int(rng.integers(len(limits)))
+        low, high, share = path.get(f, (-math.inf, math.inf, 1.0))
+        inner = [v for v in limits[f] if low < v < high]
+        if not left or not inner:
+            names = sorted(path)
+            ends = (np.array([path[n][k] for n in names], float) for k in range(3))
+            out.append(tr.Leaf(rng.normal(), np.array(names, int), *ends))
+            return
+        at, part = inner[rng.integers(len(inner))], rng.uniform(0.1, 0.9)
+        grow(left - 1, {**path, f: (low, at, share * part)})
+        grow(left - 1, {**path, f: (at, high, share * (1 - part))})
+
+    for _ in range(trees):
+        grow(depth, {})
+    return out
+
+
+def parts_by_leaf(leaves, x):
+    """Every leaf on its own, for every row."""
+    out = np.zeros(x.shape)
+    for leaf in leaves:
+        own = x[:, leaf.features]
+        out[:, leaf.features] += leaf.parts(((own > leaf.low) & (own <= leaf.high)).astype(float))
+    return out
+
+
+@pytest.mark.parametrize("depth", [1, 4, 6])
+@pytest.mark.parametrize("cells", [1, 30, tr.CELLS])
+def test_tables_of_parts_equal_the_leaves(depth, cells):
+    rng = np.random.default_rng(21)
+    limits = np.sort(rng.normal(size=(6, 9)), axis=1)
+    leaves = grown_leaves(rng, 3, depth, limits)
+    x = rng.normal(size=(400, 6))
+    x[::3] = limits[:, rng.integers(9, size=134)].T  # on the thresholds themselves
+    x[1], x[2] = 1.7976931348623157e308, -1.7976931348623157e308
+    attributor = tr.Attributor(leaves, cells)
+    assert attributor.parts(np.ascontiguousarray(x.T)).T == pytest.approx(parts_by_leaf(leaves, x), abs=1e-12)
+    assert (cells > 1) == bool(attributor.tables) and all(t.parts.shape[1] <= cells for t in attributor.tables)
+
+
+def test_attributions_take_a_look_per_tree_and_row():
+    rng = np.random.default_rng(22)
+    leaves = grown_leaves(rng, 20, 4, np.sort(rng.normal(size=(12, 31)), axis=1))
+    x = rng.normal(size=(50_000, 12))
+    began = time.process_time()
+    parts = tr.attribution_matrix(leaves, x)
+    assert time.process_time() - began < 6
+    assert parts[:200] == pytest.approx(parts_by_leaf(leaves, x[:200]), abs=1e-12)
